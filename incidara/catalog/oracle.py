@@ -111,7 +111,6 @@ ORACLE: dict[str, str] = {
     "lag_features_state": f"""WITH {INC}, {_panel("state")}, {_lagged("state")}
 SELECT state, date, accident_count, lag_1, lag_7 FROM lagged""",
     "city_profile": PROFILE,
-    "city_profile_rollup": PROFILE,
     "top_cities": f"""WITH {INC}
 SELECT city, count(id) AS total_accidents FROM inc GROUP BY city
 ORDER BY total_accidents DESC, city LIMIT 20""",
@@ -211,7 +210,7 @@ SELECT id, event_type, state, event_type_idx, state_idx
 FROM ev JOIN event_type_rank USING (event_type) JOIN state_rank USING (state)""",
     "assemble_features": f"{LAGGED} "
     + " UNION ALL ".join(
-        f"SELECT city, date, {n} AS position, round(CAST({value} AS DOUBLE), 9) AS value FROM lagged"
+        f"SELECT city, date, {n} AS position, CAST({value} AS DOUBLE) AS value FROM lagged"
         for n, value in enumerate(FEATURES)
     ),
     "rmse_naive": f"""{LAGGED}

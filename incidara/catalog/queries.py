@@ -94,12 +94,6 @@ def city_profile(spark, sf_dir):
     return panel.city_profile(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
 
 
-@query
-def city_profile_rollup(spark, sf_dir):
-    rollup = panel.day_rollup(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
-    return panel.profile_from_rollup(rollup)
-
-
 @query
 def top_cities(spark, sf_dir):
     return panel.top_cities(incidents_daily(spark, sf_dir))
@@ -256,10 +250,7 @@ def duration_model_table(spark, sf_dir):
 
 @query
 def duration_by_hour(spark, sf_dir):
-    """Mean duration per hour against a naive predictor, the state's mean."""
-    rows = durations.duration_model_table(_ended(spark, sf_dir))
-    naive = rows.groupBy("state").agg(F.avg("duration_minutes").alias("prediction"))
-    by_hour = durations.mean_duration_by_hour(rows.join(naive, "state"))
+    by_hour = durations.state_mean_by_hour(durations.duration_model_table(_ended(spark, sf_dir)))
     return by_hour.select(
         "hour",
         F.round("actual_avg_duration", 6).alias("actual_avg_duration"),
@@ -334,9 +325,7 @@ def string_index(spark, sf_dir):
 
 @query
 def assemble_features(spark, sf_dir):
-    return forecast.assembled_values(forecast.feature_table(_panel(spark, sf_dir))).select(
-        *DAY, "position", F.round("value", 9).alias("value")
-    )
+    return forecast.assembled_values(forecast.feature_table(_panel(spark, sf_dir)))
 
 
 @query

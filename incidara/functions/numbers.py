@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 
@@ -20,11 +22,20 @@ def rounded_count(value: str | Column) -> Column:
 
 
 def exact_sum(value: str, scale: int | None) -> Column:
-    """Sum of a measure; with ``scale`` in decimals, so that the order in
-    which tasks finish (or are run again) cannot change the last digit."""
+    """Sum of a measure.
+
+    With ``scale``, values are rounded to that many decimals and added up as
+    whole numbers, so that the order in which tasks finish (or are run again)
+    cannot change the last digit. Each value costs one integer addition; only
+    the group's total becomes a decimal, which later sums cannot overflow.
+    """
+    column = F.col(value)
     if scale is None:
-        return F.sum(F.col(value).cast("double"))
-    return F.sum(F.col(value).cast(f"decimal(18,{scale})"))
+        return F.sum(column.cast("double"))
+    units = F.sum(F.rint(column * F.lit(10.0**scale)).cast("bigint"))
+    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(
+        f"decimal(38,{scale})"
+    )
 
 
 def mean_from(total: Column, count: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 
@@ -39,10 +40,19 @@ def search_duration_tree(
     depths: Sequence[int] = DEPTHS,
     min_instances: Sequence[int] = MIN_INSTANCES,
     parallelism: int = 1,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> TreeSearch:
     """Indexers see the training part only. Give both parts staged."""
     index = fit_index(train)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
     return search_tree(
-        [index, vectors], train, valid, LABEL, depths, min_instances, bins_for(index), parallelism
+        [index, vectors],
+        train,
+        valid,
+        LABEL,
+        depths,
+        min_instances,
+        max_bins=bins_for(index),
+        parallelism=parallelism,
+        storage=storage,
     )

@@ -8,10 +8,10 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame
 
-from incidara.models.metrics import first_best, rmse, run_each
+from incidara.models.metrics import first_best, rmse_each, run_each
 
 # Search grid and MLlib's usual number of bins.
 DEPTHS = (3, 4, 5, 6)
@@ -34,21 +34,26 @@ def search_tree(
     min_instances: Sequence[int] = MIN_INSTANCES,
     max_bins: int = BINS,
     parallelism: int = 1,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> TreeSearch:
     """Fit every grid point; the least validation error wins.
 
     ``prepare`` holds fitted stages ending in a ``features`` column. They run
-    once, not once per grid point, and their output is kept for all fits.
+    once, not once per grid point. All trees are scored together, in one pass
+    over each part. ``storage`` keeps the feature vectors between fits; give
+    None for a table larger than the executors can hold, and every fit reads
+    the staged table again.
     """
     spark = train.sparkSession
     stages = PipelineModel(stages=list(prepare))
 
     def ready(part: DataFrame) -> DataFrame:
-        return stages.transform(part).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = stages.transform(part).select("features", label)
+        return vectors.persist(storage) if storage else vectors
 
     train_ready, valid_ready = ready(train), ready(valid)
 
-    def fit(point: tuple[int, int]):
+    def fit(point: tuple[int, int]) -> DecisionTreeRegressionModel:
         depth, smallest = point
         tree = DecisionTreeRegressor(
             labelCol=label,
@@ -56,20 +61,30 @@ def search_tree(
             maxDepth=depth,
             minInstancesPerNode=smallest,
             maxBins=max_bins,
-        ).fit(train_ready)
-        return tree, {
-            "max_depth": depth,
-            "min_instances": smallest,
-            "training_rmse": rmse(tree.transform(train_ready), label),
-            "valid_rmse": rmse(tree.transform(valid_ready), label),
-        }
+        )
+        return tree.fit(train_ready)
 
     try:
         points = [(depth, smallest) for depth in depths for smallest in min_instances]
-        fitted = run_each(spark, fit, points, parallelism)
+        trees = run_each(spark, fit, points, parallelism)
+        errors = zip(
+            rmse_each(trees, train_ready, label), rmse_each(trees, valid_ready, label)
+        )
     finally:
-        train_ready.unpersist()
-        valid_ready.unpersist()
-    rows = first_best([row for _, row in fitted], "valid_rmse")
+        if storage:
+            train_ready.unpersist()
+            valid_ready.unpersist()
+    rows = first_best(
+        [
+            {
+                "max_depth": depth,
+                "min_instances": smallest,
+                "training_rmse": on_train,
+                "valid_rmse": on_valid,
+            }
+            for (depth, smallest), (on_train, on_valid) in zip(points, errors)
+        ],
+        "valid_rmse",
+    )
     best = next(n for n, row in enumerate(rows) if row["is_best"])
-    return TreeSearch(PipelineModel(stages=[*prepare, fitted[best][0]]), rows)
+    return TreeSearch(PipelineModel(stages=[*prepare, trees[best]]), rows)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from incidara.functions import DAY_MINUTES_BOUND, duration_minutes, parse_double, parse_timestamp
 from incidara.operators.quality import drop_nulls
@@ -46,15 +46,40 @@ def duration_model_table(incidents: DataFrame, carry: Sequence[str] = ()) -> Dat
     return drop_nulls(timed.select(*carry, *MODEL_COLUMNS), MODEL_COLUMNS)
 
 
+def _mean(value: str, weight: str | None) -> Column:
+    if weight is None:
+        return F.avg(value)
+    return F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(weight))
+
+
 def mean_duration_by_hour(
-    scored: DataFrame, actual: str = "duration_minutes", predicted: str = "prediction"
+    scored: DataFrame,
+    actual: str = "duration_minutes",
+    predicted: str = "prediction",
+    weight: str | None = None,
 ) -> DataFrame:
-    """Actual and predicted mean duration per hour of day."""
+    """Actual and predicted mean duration per hour of day.
+
+    ``weight`` names a row count, for rows that are means already.
+    """
     return (
         scored.groupBy("hour")
         .agg(
-            F.avg(actual).alias("actual_avg_duration"),
-            F.avg(predicted).alias("predicted_avg_duration"),
+            _mean(actual, weight).alias("actual_avg_duration"),
+            _mean(predicted, weight).alias("predicted_avg_duration"),
         )
         .orderBy("hour")
     )
+
+
+def state_mean_by_hour(rows: DataFrame) -> DataFrame:
+    """The same against a naive predictor, the mean duration of the state.
+
+    Rows fold to one per hour and state first; the state means and the join
+    work on that table of 24 x states.
+    """
+    cells = rows.groupBy("hour", "state").agg(
+        F.avg("duration_minutes").alias("duration_minutes"), F.count("*").alias("rows")
+    )
+    naive = cells.groupBy("state").agg(_mean("duration_minutes", "rows").alias("prediction"))
+    return mean_duration_by_hour(cells.join(naive, "state"), weight="rows")

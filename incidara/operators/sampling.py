@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 FRACTION = 0.01
 CHUNK_ROWS = 100_000
 
-BIN_DIGITS = 4  # leading hex digits of the ticket: 65,536 bins per stratum
+BINS = 1024  # bins of tickets below SPREAD times the sampled share; one more for the rest
+SPREAD = 4
 
 
 def sample_bernoulli(df: DataFrame, fraction: float = FRACTION, *, seed: int) -> DataFrame:
@@ -32,17 +33,20 @@ def sample_exact_strata(
 
     Every row draws a ticket, the md5 of seed and ``key`` (a row id), and the
     lowest tickets of a stratum win. Sorting a stratum would put a large one
-    into a single task. Instead the tickets are counted in 65,536 bins per
-    stratum: bins below the quota win whole, and only the bin in which the
-    quota ends is ranked. Rows above the highest such bin are dropped before
-    the join, which is on (stratum, bin) and so is spread evenly.
+    into a single task. Instead tickets are counted in bins: 1,024 narrow
+    ones for tickets up to four times the share, where the quota of all but
+    tiny strata ends, and one for the rest. Bins below the quota win whole,
+    and only the bin in which the quota ends is ranked. Rows above the highest
+    such bin are dropped before the join, which is on (stratum, bin) and so is
+    spread evenly. The counts hold at most 1,025 rows per stratum.
     """
     names = list(strata)
-    tickets = df.withColumn(
-        "_ticket", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    ).withColumn("_bin", F.substring("_ticket", 1, BIN_DIGITS))
+    ticket = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    height = F.conv(F.substring("_ticket", 1, 8), 16, 10).cast("double") / 2.0**32
+    narrow = F.floor(height * (BINS / (SPREAD * fraction)))
+    tickets = df.withColumn("_ticket", ticket).withColumn("_bin", F.least(narrow, F.lit(BINS)))
 
-    whole = Window.partitionBy(*names)  # over bins: 65,536 rows at most
+    whole = Window.partitionBy(*names)
     below = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     quotas = (
         tickets.groupBy(*names, "_bin")
