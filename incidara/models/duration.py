@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 
+from incidara.models.metrics import PARALLEL_FITS
 from incidara.models.trees import DEPTHS, MIN_INSTANCES, TreeSearch, search_tree
 
 LABEL = "duration_minutes"
@@ -39,7 +40,7 @@ def search_duration_tree(
     valid: DataFrame,
     depths: Sequence[int] = DEPTHS,
     min_instances: Sequence[int] = MIN_INSTANCES,
-    parallelism: int = 1,
+    parallelism: int = PARALLEL_FITS,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> TreeSearch:
     """Indexers see the training part only. Give both parts staged."""

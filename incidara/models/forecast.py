@@ -18,7 +18,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from incidara.functions import from_log, log_target, rounded_count, with_calendar
-from incidara.models.metrics import first_best, run_each
+from incidara.models.metrics import PARALLEL_FITS, first_best, run_each
 from incidara.operators.panel import CITY, lag_features
 from incidara.session import shared_dir
 
@@ -107,7 +107,7 @@ def search_forecast(
     steps: Sequence[float] = STEPS,
     features: Sequence[str] = FEATURES,
     seed: int = SEED,
-    parallelism: int = 1,
+    parallelism: int = PARALLEL_FITS,
 ) -> Search:
     """Grid search; the first grid point with the least validation error wins.
 

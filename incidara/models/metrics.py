@@ -12,6 +12,8 @@ from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
+PARALLEL_FITS = 4  # fits that share the cluster; a level of a tree is a short job
+
 T = TypeVar("T")
 R = TypeVar("R")
 
@@ -45,7 +47,7 @@ def rmse_each(models: Sequence[Model], table: DataFrame, label: str) -> list[flo
 
 
 def run_each(
-    spark: SparkSession, work: Callable[[T], R], items: Sequence[T], parallelism: int = 1
+    spark: SparkSession, work: Callable[[T], R], items: Sequence[T], parallelism: int = PARALLEL_FITS
 ) -> list[R]:
     """``work`` on every item, up to ``parallelism`` Spark jobs at a time."""
     if parallelism <= 1:

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame
 
-from incidara.models.metrics import first_best, rmse_each, run_each
+from incidara.models.metrics import PARALLEL_FITS, first_best, rmse_each, run_each
 
 # Search grid and MLlib's usual number of bins.
 DEPTHS = (3, 4, 5, 6)
@@ -33,7 +33,7 @@ def search_tree(
     depths: Sequence[int] = DEPTHS,
     min_instances: Sequence[int] = MIN_INSTANCES,
     max_bins: int = BINS,
-    parallelism: int = 1,
+    parallelism: int = PARALLEL_FITS,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> TreeSearch:
     """Fit every grid point; the least validation error wins.

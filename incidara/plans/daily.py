@@ -20,7 +20,7 @@ from incidara.models.forecast import (
     search_forecast,
     search_log,
 )
-from incidara.models.metrics import rmse, tuning_table
+from incidara.models.metrics import PARALLEL_FITS, rmse, tuning_table
 from incidara.operators.panel import (
     CITY,
     TOP_HOTSPOTS,
@@ -47,19 +47,21 @@ def daily_forecast(
     steps: Sequence[float] = STEPS,
     features: Sequence[str] = FEATURES,
     required: Sequence[str] | None = None,
-    parallelism: int = 1,
+    parallelism: int = PARALLEL_FITS,
     groups: bool = True,
+    exact_scale: int | None = None,
 ) -> Search:
     """Run the whole analysis and write its tables under ``out``.
 
     The incident table is read once, for the rollup to (city, day); that
     small table is staged and everything else is derived from it.
     ``required`` names the columns whose missing values drop a row
-    (``None``: every column of ``incidents``).
+    (``None``: every column of ``incidents``); ``exact_scale`` keeps sums to
+    that many decimals, so that a repeated run gives the same means.
     """
     spark = incidents.sparkSession
     usable = with_date(drop_nulls(incidents, required))
-    rollup = stage(day_rollup(usable, keys), "rollup")
+    rollup = stage(day_rollup(usable, keys, exact_scale=exact_scale), "rollup")
 
     write_table(top_from_counts(rollup, TOP_HOTSPOTS, keys), f"{out}/top_cities")
     if groups:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from incidara.models.duration import search_duration_tree
-from incidara.models.metrics import tuning_table
+from incidara.models.metrics import PARALLEL_FITS, tuning_table
 from incidara.models.trees import TreeSearch
 from incidara.operators.durations import (
     duration_model_table,
@@ -19,7 +19,7 @@ from incidara.sinks import write_result_csv, write_table
 
 
 def duration_prediction(
-    raw: DataFrame, out: str, any_null_drop: bool = True, parallelism: int = 1
+    raw: DataFrame, out: str, any_null_drop: bool = True, parallelism: int = PARALLEL_FITS
 ) -> TreeSearch:
     """Run on an all-string scan and write under ``out``.
 
