@@ -21,21 +21,26 @@ def rounded_count(value: str | Column) -> Column:
     return F.when(whole.isNotNull(), F.greatest(whole, F.lit(0.0))).cast("int")
 
 
+LOW_BITS = 20
+
+
 def exact_sum(value: str, scale: int | None) -> Column:
     """Sum of a measure.
 
     With ``scale``, values are rounded to that many decimals and added up as
     whole numbers, so that the order in which tasks finish (or are run again)
-    cannot change the last digit. Each value costs one integer addition; only
-    the group's total becomes a decimal, which later sums cannot overflow.
+    cannot change the last digit. High and low bits are summed apart, which
+    keeps either sum within 64 bits for some 10^12 rows of one group; only the
+    group's total becomes a decimal, which later sums cannot overflow.
     """
     column = F.col(value)
     if scale is None:
         return F.sum(column.cast("double"))
-    units = F.sum(F.rint(column * F.lit(10.0**scale)).cast("bigint"))
-    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(
-        f"decimal(38,{scale})"
-    )
+    units = F.rint(column * F.lit(10.0**scale)).cast("bigint")
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
+    total = high * F.lit(Decimal(2**LOW_BITS)) + low
+    return (total * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
 
 
 def mean_from(total: Column, count: Column) -> Column:

@@ -116,8 +116,15 @@ def profile_from_rollup(
 def city_profile(
     incidents: DataFrame, keys: Sequence[str] = CITY, exact_scale: int | None = None
 ) -> DataFrame:
-    """Means per city over all its incidents, with or without a day."""
-    return profile_from_rollup(day_rollup(incidents, keys, exact_scale=exact_scale), keys)
+    """Means per city, straight from incidents; they need no day."""
+    return incidents.groupBy(*keys).agg(
+        *[
+            mean_from(
+                exact_sum(PANEL_MEASURES[m], exact_scale), F.count(PANEL_MEASURES[m])
+            ).alias(name)
+            for name, m in PROFILE_MEASURES.items()
+        ]
+    )
 
 
 def _most(totals: DataFrame, keys: Sequence[str], n: int) -> DataFrame:

@@ -45,16 +45,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local master, where driver and executors share one disk, may fall
-    back to a temporary folder.
+    back to a temporary folder; it then serves the whole session.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="incidara-")
-        spark.conf.set(CHECKPOINT_DIR, configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 

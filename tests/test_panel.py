@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from incidara.catalog.fixtures import with_end_time
+from incidara.functions import exact_sum
 from incidara.operators.counts import hour_counts, hour_severity_counts, severity_levels, severity_slice
 from incidara.operators.durations import duration_between, parsed_strings
 from incidara.operators.panel import (
@@ -146,3 +148,13 @@ def test_end_time_is_the_next_start_of_the_user(spark):
         for (_, n), following in zip(own, [*own[1:], (None, None)]):
             want[n] = following[0]
     assert got == want
+
+
+def test_exact_sums_survive_large_totals(spark):
+    # Ten thousand rows of 10^14 units each would overflow one 64-bit sum at 10^19.
+    rows = spark.range(100_000).select(
+        F.lit("x").alias("city"),
+        F.when(F.col("id") % 2 == 0, 1e11).otherwise(-3e10 - 0.0625).alias("v"),
+    )
+    total = rows.groupBy("city").agg(exact_sum("v", 4).alias("t")).first().t
+    assert total == Decimal(50_000) * (Decimal("1e11") - Decimal("3e10") - Decimal("0.0625"))
