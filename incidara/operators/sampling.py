@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 FRACTION = 0.01
 CHUNK_ROWS = 100_000
 
-BINS = 1024  # bins of tickets below SPREAD times the sampled share; one more for the rest
+BINS = 1024  # bins of the tickets below SPREAD times the sampled share
 SPREAD = 4
 
 
@@ -35,16 +35,21 @@ def sample_exact_strata(
     lowest tickets of a stratum win. Sorting a stratum would put a large one
     into a single task. Instead tickets are counted in bins: 1,024 narrow
     ones for tickets up to four times the share, where the quota of all but
-    tiny strata ends, and one for the rest. Bins below the quota win whole,
-    and only the bin in which the quota ends is ranked. Rows above the highest
-    such bin are dropped before the join, which is on (stratum, bin) and so is
-    spread evenly. The counts hold at most 1,025 rows per stratum.
+    tiny strata ends, then bins of doubling width. Bins below the quota win
+    whole, and only the bin in which the quota ends is ranked.
+
+    The counts hold some 1,030 rows per stratum. Rows above the highest bin
+    any stratum needs are dropped before the join, which is on (stratum,
+    bin): narrow bins spread evenly, and where tiny strata make a wide bin of
+    a large one pass the filter, AQE splits it (the ranking that follows has
+    a shuffle of its own, over winners and quota bins only).
     """
     names = list(strata)
     ticket = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
     height = F.conv(F.substring("_ticket", 1, 8), 16, 10).cast("double") / 2.0**32
-    narrow = F.floor(height * (BINS / (SPREAD * fraction)))
-    tickets = df.withColumn("_ticket", ticket).withColumn("_bin", F.least(narrow, F.lit(BINS)))
+    spread = height / (SPREAD * fraction)  # 1.0 where the narrow bins end
+    number = F.when(spread < 1, F.floor(spread * BINS)).otherwise(F.floor(F.log2(spread)) + BINS)
+    tickets = df.withColumn("_ticket", ticket).withColumn("_bin", number)
 
     whole = Window.partitionBy(*names)
     below = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,9 +20,9 @@ from incidara.sources import (
 )
 
 CSV = """ID,Source,Severity,Start_Time,End_Time,Distance(mi),City,State,Temperature(F),Humidity(%),Visibility(mi),Precipitation(in),Weather_Condition
-A-1,S1,3,2016-02-08 05:46:00,2016-02-08 11:00:00.000000000,0.01,Dayton,OH,36.9,91.0,10.0,0.02,Rain
-A-2,S1,2,2016-02-08 06:07:59,bad,x1,Reno,NV,,100.0,10.0,0.0,Rain
-A-3,,2,2017-02-08 06:49:27,2017-02-08 07:19:27,0.0,Reno,NV,36.0,100.0,10.0,0.0,Clear
+A-1,S1,3,2019-04-03 05:30:00,2019-04-03 11:00:00.000000000,0.25,Dover,DE,41.5,88.0,9.0,0.03,Rain
+A-2,S1,2,2019-04-03 07:10:09,bad,x1,Reno,NV,,77.0,9.0,0.0,Rain
+A-3,,2,2020-04-03 08:20:27,2020-04-03 08:50:27,0.0,Reno,NV,40.0,77.0,9.0,0.0,Clear
 """
 
 
@@ -39,7 +39,7 @@ def test_incidents_by_name_and_lenient(spark, csv_file):
     kinds = {f.name: f.dataType for f in got.schema}
     assert kinds == {f.name: f.dataType for f in INCIDENTS}
     rows = {r.id: r for r in got.collect()}
-    assert rows["A-1"].end_time == datetime(2016, 2, 8, 11) and rows["A-1"].severity == 3
+    assert rows["A-1"].end_time == datetime(2019, 4, 3, 11) and rows["A-1"].severity == 3
     assert rows["A-2"].end_time is None and rows["A-2"].distance_mi is None
     assert "Precipitation(in)" in with_incident_names(got).columns
 
@@ -76,7 +76,7 @@ def test_csv_write_fails_if_there(spark, csv_file):
 def test_landed_table_prunes_years(spark, csv_file):
     path = fresh_path(spark, "landed")
     land_by_year(read_incidents(spark, csv_file), path)
-    year = read_landed(spark, path, date(2017, 1, 1), date(2017, 12, 31))
+    year = read_landed(spark, path, date(2020, 1, 1), date(2020, 12, 31))
     assert [r.id for r in year.collect()] == ["A-3"]
     plan = year._jdf.queryExecution().executedPlan().toString()
     assert "start_year" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -29,19 +29,19 @@ def by_brute_force(rows, fraction, seed):
     }
 
 
-@pytest.mark.parametrize("fraction", [0.01, 0.25, 0.9])
+@pytest.mark.parametrize("fraction", [0.01, 0.02, 0.25, 0.9])
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_exact_strata_equals_brute_force(spark, fraction, partitions):
-    # One stratum with most rows, a null one, and many tiny ones whose quota
-    # can end in the coarse bin.
+    # One stratum with many rows, a null one, and 300 of fifty rows, where a
+    # share of 0.02 makes some quotas end in the wide bins.
     rows = (
-        spark.range(20_000)
+        spark.range(32_000)
         .repartition(partitions)
         .withColumn(
             "part",
             F.when(F.col("id") < 14_000, 1)
             .when(F.col("id") < 17_000, F.lit(None).cast("int"))
-            .otherwise((F.col("id") % 60).cast("int") + 2),
+            .otherwise((F.col("id") % 300).cast("int") + 2),
         )
     )
     drawn = sample_exact_strata(rows, ["part"], "id", fraction, seed=9)
