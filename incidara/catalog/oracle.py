@@ -206,6 +206,29 @@ SELECT count(*) AS total_rows,
 FROM inc""",
     "deduplicate": f"WITH {INC} SELECT DISTINCT city, state, severity FROM inc",
     "csv_roundtrip": "SELECT * FROM orders",
+    "csv_strings": "SELECT * FROM orders",
+    "csv_headerless": "SELECT * FROM orders",
+    "csv_inferred": "SELECT * FROM orders",
+    "landed_days": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate AS start_time,
+       o_orderpriority
+FROM orders WHERE o_orderdate >= DATE '1998-03-01' AND o_orderdate < DATE '1999-02-16'""",
+    "hour_result_csv": f"{HOURLY} SELECT hours, count(*) AS accident_count FROM ev GROUP BY hours",
+    "sample_by_key": """
+SELECT event_id AS id FROM events
+WHERE CAST(concat('0x', substr(md5(concat('42:', CAST(event_id AS VARCHAR))), 1, 8)) AS BIGINT)
+      / CAST(4294967296 AS DOUBLE) < CAST(0.01 AS DOUBLE)""",
+    "split_random_cover": "SELECT count(*) AS rows, count(DISTINCT event_id) AS ids FROM events",
+    "hour_tree_means": f"""{HOURLY}, hourly AS (
+  SELECT hours, count(*) AS n FROM ev GROUP BY hours)
+SELECT count(*) AS rows, round(avg(n), 6) AS mean_count, round(avg(n), 6) AS mean_prediction
+FROM hourly""",
+    "cluster_nearest": f"""WITH {INC}
+SELECT count(DISTINCT city) AS cities, CAST(0 AS BIGINT) AS misplaced FROM inc""",
+    "gbt_means": f"""{LAGGED}
+SELECT count(*) AS rows, round(avg(ln(1 + accident_count)), 6) AS mean_label,
+       round(avg(ln(1 + accident_count)), 6) AS mean_prediction
+FROM lagged WHERE date < DATE '2000-01-01'""",
     "string_index": f"""{HOURLY}, {_index("event_type")}, {_index("state")}
 SELECT id, event_type, state, event_type_idx, state_idx
 FROM ev JOIN event_type_rank USING (event_type) JOIN state_rank USING (state)""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,8 +22,8 @@ from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
 from incidara.operators import counts, durations, panel, quality, sampling, series, splits
 from incidara.schema import WEATHER_MEASURES
 from incidara.session import fresh_path, pin_time_zone, stage
-from incidara.sinks import save_pipeline, write_csv
-from incidara.sources import load_pipeline, read_typed
+from incidara.sinks import land_by_year, save_pipeline, write_csv, write_result_csv
+from incidara.sources import load_pipeline, read_inferred, read_landed, read_strings, read_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,6 +200,15 @@ def split_random(spark, sf_dir):
     )
 
 
+@query
+def split_random_cover(spark, sf_dir):
+    """The random parts together are every row once."""
+    train, valid = splits.split_random(incidents_hourly(spark, sf_dir).select("id"))
+    return train.unionByName(valid).groupBy("id").agg(F.count("*").alias("n")).agg(
+        F.sum("n").alias("rows"), F.count("*").alias("ids")
+    )
+
+
 @query
 def sample_exact_strata(spark, sf_dir):
     rows = incidents_hourly(spark, sf_dir).select("id", (F.col("id") % 10).alias("bucket"))
@@ -210,6 +220,11 @@ def sample_bernoulli(spark, sf_dir):
     return sampling.sample_bernoulli(incidents_hourly(spark, sf_dir).select("id"), seed=42)
 
 
+@query
+def sample_by_key(spark, sf_dir):
+    return sampling.sample_by_key(incidents_hourly(spark, sf_dir).select("id"), "id", seed=42)
+
+
 # --- hours and severities -------------------------------------------------------------
 
 
@@ -311,14 +326,57 @@ def deduplicate(spark, sf_dir):
     return quality.deduplicate(incidents_daily(spark, sf_dir).select("city", "state", "severity"))
 
 
-@query
-def csv_roundtrip(spark, sf_dir):
+def _orders_csv(spark, sf_dir, header=True):
     orders = table(spark, sf_dir, "orders")
     path = fresh_path(spark, "orders-csv")
-    write_csv(orders, path)
+    write_csv(orders, path, header=header)
+    return orders, path
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    orders, path = _orders_csv(spark, sf_dir)
     return read_typed(spark, path, orders.schema)
 
 
+@query
+def csv_strings(spark, sf_dir):
+    """All-string scan, parsed afterwards."""
+    orders, path = _orders_csv(spark, sf_dir)
+    raw = read_strings(spark, path)
+    return raw.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in orders.dtypes])
+
+
+@query
+def csv_headerless(spark, sf_dir):
+    orders, path = _orders_csv(spark, sf_dir, header=False)
+    return read_typed(spark, path, orders.schema, header=False)
+
+
+@query
+def csv_inferred(spark, sf_dir):
+    orders, path = _orders_csv(spark, sf_dir)
+    found = read_inferred(spark, path)
+    return found.select(*[F.col(name).cast(kind).alias(name) for name, kind in orders.dtypes])
+
+
+@query
+def landed_days(spark, sf_dir):
+    """Land by year, read a range of days back."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "start_time")
+    path = fresh_path(spark, "landed")
+    land_by_year(orders, path)
+    return read_landed(spark, path, date(1998, 3, 1), date(1999, 2, 15)).drop("start_year")
+
+
+@query
+def hour_result_csv(spark, sf_dir):
+    hours = counts.hour_counts(counts.hour_severity_counts(_hourly(spark, sf_dir)))
+    path = fresh_path(spark, "hours-csv")
+    write_result_csv(hours, path, ["hours"])
+    return read_typed(spark, path, hours.schema)
+
+
 # --- features and naive errors --------------------------------------------------------
 
 
@@ -371,6 +429,18 @@ def gbt_forecast(spark, sf_dir):
     )
 
 
+@query
+def gbt_means(spark, sf_dir):
+    """Over the training rows boosted variance trees must return the label's mean."""
+    train, _, _ = _forecast_parts(spark, sf_dir)
+    model = forecast.fit_forecast(train, DEPTH, ITERATIONS, STEP)
+    return forecast.score_forecast(model, train).agg(
+        F.count("*").alias("rows"),
+        F.round(F.avg(forecast.LABEL), 6).alias("mean_label"),
+        F.round(F.avg("prediction"), 6).alias("mean_prediction"),
+    )
+
+
 @query
 def gbt_grid(spark, sf_dir):
     train, valid, _ = _forecast_parts(spark, sf_dir)
@@ -401,6 +471,18 @@ def hour_tree(spark, sf_dir):
     return hourly.score_hours(hourly.search_hour_tree(hours).model, hours)
 
 
+@query
+def hour_tree_means(spark, sf_dir):
+    """Trained on all hours, the tree must return the mean count."""
+    hours = _staged_hours(spark, sf_dir)
+    model = hourly.search_hours(hours, hours, depths=(3,), min_instances=(2,)).model
+    return hourly.score_hours(model, hours).agg(
+        F.count("*").alias("rows"),
+        F.round(F.avg(hourly.LABEL), 6).alias("mean_count"),
+        F.round(F.avg("prediction"), 6).alias("mean_prediction"),
+    )
+
+
 @query
 def tuning_table(spark, sf_dir):
     return tuning_rows(spark, hourly.search_hour_tree(_staged_hours(spark, sf_dir)).rows)
@@ -438,17 +520,30 @@ def duration_tree_means(spark, sf_dir):
 
 def _clusters(spark, sf_dir):
     rollup = panel.day_rollup(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
-    return clusters.cluster_cities(stage(panel.profile_from_rollup(rollup), "profile")).table
+    return clusters.cluster_cities(stage(panel.profile_from_rollup(rollup), "profile"))
 
 
 @query
 def city_clusters(spark, sf_dir):
-    return _clusters(spark, sf_dir).select("city", "avg_temp", "avg_humidity", "cluster")
+    return _clusters(spark, sf_dir).table.select("city", "avg_temp", "avg_humidity", "cluster")
 
 
 @query
 def cluster_profile(spark, sf_dir):
-    return clusters.cluster_profile(_clusters(spark, sf_dir))
+    return clusters.cluster_profile(_clusters(spark, sf_dir).table)
+
+
+@query
+def cluster_nearest(spark, sf_dir):
+    """Every city must sit in the group with the nearest centre."""
+    found = _clusters(spark, sf_dir)
+
+    def squared(centre):
+        return sum(((F.col(name) - value) ** 2 for name, value in zip(clusters.FEATURES, centre)), F.lit(0.0))
+
+    distances = F.array(*[squared(centre) for centre in found.centres])
+    away = F.get(distances, F.col("cluster")) > F.array_min(distances) * (1 + 1e-9)
+    return found.table.agg(F.count("*").alias("cities"), F.count_if(away).alias("misplaced"))
 
 
 @query

@@ -24,8 +24,11 @@ MEAN_DIGITS = 9
 
 @dataclass(frozen=True)
 class Clusters:
+    """``centres`` are listed by group number, in the model's feature scale."""
+
     model: PipelineModel
     table: DataFrame
+    centres: list[list[float]]
 
 
 def steady_layout(profile: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
@@ -82,7 +85,8 @@ def cluster_cities(
 
     model = PipelineModel(stages=[*prepare, means])
     scored = model.transform(city).withColumn("cluster", F.get(number, F.col("prediction")))
-    return Clusters(model, scored.select(*keys, *FEATURES, "cluster"))
+    table = scored.select(*keys, *FEATURES, "cluster")
+    return Clusters(model, table, [centres[n] for n in ranked])
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:

@@ -27,6 +27,16 @@ def split_hours(
     return split_random(hours, train_share, seed)
 
 
+def search_hours(
+    train: DataFrame,
+    valid: DataFrame,
+    depths: Sequence[int] = DEPTHS,
+    min_instances: Sequence[int] = MIN_INSTANCES,
+) -> TreeSearch:
+    vectors = VectorAssembler(inputCols=["hours"], outputCol="features")
+    return search_tree([vectors], train, valid, LABEL, depths, min_instances)
+
+
 def search_hour_tree(
     counts: DataFrame,
     depths: Sequence[int] = DEPTHS,
@@ -35,8 +45,7 @@ def search_hour_tree(
 ) -> TreeSearch:
     """Give ``counts`` staged: all fits and scores read it."""
     train, valid = split_hours(counts, seed=seed)
-    vectors = VectorAssembler(inputCols=["hours"], outputCol="features")
-    return search_tree([vectors], train, valid, LABEL, depths, min_instances)
+    return search_hours(train, valid, depths, min_instances)
 
 
 def score_hours(model: PipelineModel, counts: DataFrame) -> DataFrame:

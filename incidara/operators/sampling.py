@@ -20,6 +20,23 @@ def sample_bernoulli(df: DataFrame, fraction: float = FRACTION, *, seed: int) ->
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def _ticket(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+
+
+def _height(ticket: Column) -> Column:
+    """The ticket as a number in [0, 1), from its first 32 bits."""
+    return F.conv(F.substring(ticket, 1, 8), 16, 10).cast("double") / 2.0**32
+
+
+def sample_by_key(
+    df: DataFrame, key: str, fraction: float = FRACTION, *, seed: int
+) -> DataFrame:
+    """A coin toss fixed by seed and row id: no shuffle, approximate size, and
+    the same rows on every run, however the table is partitioned."""
+    return df.filter(_height(_ticket(key, seed)) < fraction)
+
+
 def chunk_of(key: str, rows: int, chunk_rows: int = CHUNK_ROWS) -> Column:
     """A chunk number so that ``rows`` rows fall into chunks of about
     ``chunk_rows``, by hash of the key instead of file order."""
@@ -45,11 +62,10 @@ def sample_exact_strata(
     a shuffle of its own, over winners and quota bins only).
     """
     names = list(strata)
-    ticket = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    height = F.conv(F.substring("_ticket", 1, 8), 16, 10).cast("double") / 2.0**32
+    height = _height(F.col("_ticket"))
     spread = height / (SPREAD * fraction)  # 1.0 where the narrow bins end
     number = F.when(spread < 1, F.floor(spread * BINS)).otherwise(F.floor(F.log2(spread)) + BINS)
-    tickets = df.withColumn("_ticket", ticket).withColumn("_bin", number)
+    tickets = df.withColumn("_ticket", _ticket(key, seed)).withColumn("_bin", number)
 
     whole = Window.partitionBy(*names)
     below = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

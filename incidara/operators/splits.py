@@ -74,11 +74,11 @@ def split_random(
     return train, valid
 
 
-def key_percentile(key: str | Column, salt: str = "") -> Column:
+def key_percentile(key: str | Column) -> Column:
     """A number 0..99 fixed by the key's value alone (md5, first 32 bits)."""
     column = F.col(key) if isinstance(key, str) else key
-    text = F.concat(F.lit(salt), column.cast("string")) if salt else column.cast("string")
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") % 100
+    digest = F.md5(column.cast("string").cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
 
 
 def key_split_label(key: str | Column, train_share: float = TRAIN_SHARE) -> Column:

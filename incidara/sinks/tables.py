@@ -9,9 +9,11 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV folder with a header line per file, written in parallel."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(
+    df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True
+) -> None:
+    """CSV folder, written in parallel; a header line per file unless told not to."""
+    df.write.mode(mode).option("header", header).csv(path)
 
 
 def land_by_year(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
