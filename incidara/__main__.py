@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import functions as F
 
+from incidara.models.forecast import DEPTHS, ITERATIONS, STEPS
 from incidara.operators.sampling import CHUNK_ROWS, FRACTION, chunk_of, sample_exact_strata
 from incidara.operators.splits import TEST_START, VALID_START, TimeBounds
 from incidara.plans.cleaning import clean
@@ -18,6 +20,10 @@ from incidara.sinks import land_by_year, write_csv
 from incidara.sources import read_incidents, read_strings
 
 
+def _numbers(kind: type) -> Callable[[str], list]:
+    return lambda text: [kind(part) for part in text.split(",")]
+
+
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="incidara", description=__doc__)
     parser.add_argument("job", choices=["sample", "clean", "land", "daily", "hourly", "duration"])
@@ -30,6 +36,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--valid-start", type=date.fromisoformat, default=VALID_START)
     parser.add_argument("--test-start", type=date.fromisoformat, default=TEST_START)
     parser.add_argument("--exact-scale", type=int, help="decimals kept in exact sums")
+    parser.add_argument("--depths", type=_numbers(int), default=DEPTHS, help="e.g. 3,4")
+    parser.add_argument("--iterations", type=_numbers(int), default=ITERATIONS)
+    parser.add_argument("--steps", type=_numbers(float), default=STEPS)
     parser.add_argument("--csv", action="store_true", help="write the cleaned table as CSV")
     return parser.parse_args(argv)
 
@@ -58,6 +67,9 @@ def main(argv: list[str] | None = None) -> None:
             args.output,
             keys=["state", "city"] if args.by_state else ["city"],
             bounds=TimeBounds(args.valid_start, args.test_start),
+            depths=args.depths,
+            iterations=args.iterations,
+            steps=args.steps,
             exact_scale=args.exact_scale,
         )
         print(search.best)

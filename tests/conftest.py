@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -63,6 +63,19 @@ def test_daily_forecast(spark, csv_file, tmp_path):
     assert total == 4000 - 80  # rows without a temperature are dropped
 
 
+def test_command_line_daily_by_state(spark, csv_file, tmp_path):
+    out = str(tmp_path / "daily")
+    main(
+        ["daily", csv_file, out, "--by-state", "--exact-scale", "4", "--depths", "2"]
+        + ["--iterations", "2", "--steps", "0.3"]
+        + ["--valid-start", "2020-05-01", "--test-start", "2020-07-01"]
+    )
+    hotspots = spark.read.parquet(f"{out}/top_cities")
+    assert hotspots.columns == ["state", "city", "total_accidents"] and hotspots.count() == 18
+    tuning = spark.read.parquet(f"{out}/tuning").collect()
+    assert len(tuning) == 1 and tuning[0].is_best
+
+
 def test_hourly_counts(spark, csv_file, tmp_path):
     out = str(tmp_path / "hourly")
     search = hourly_counts(read_strings(spark, csv_file), out)

@@ -22,7 +22,7 @@ def parts(spark):
     start = date(2020, 1, 1)
     panel = (
         spark.range(500)
-        .crossJoin(spark.createDataFrame([("a",), ("b",), ("c",)], "city string"))
+        .withColumn("city", F.explode(F.split(F.lit("a b c"), " ")))
         .select(
             "city",
             F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"),
@@ -75,6 +75,13 @@ def test_scores_and_importances(spark, parts):
     assert [v for _, v in table] == sorted((v for _, v in table), reverse=True)
 
 
+def test_features_of_the_past_only(parts):
+    train, valid, _ = parts
+    search = forecast.search_forecast(train, valid, (2,), (2,), (0.3,), forecast.PAST_FEATURES)
+    assert search.model.stages[0].getInputCols() == forecast.PAST_FEATURES
+    assert search.model.stages[1].numFeatures == 6
+
+
 def test_missing_feature_raises(parts):
     train, _, _ = parts
     broken = train.withColumn("temp", F.lit(None).cast("double"))
