@@ -31,7 +31,8 @@ def exact_sum(value: str, scale: int | None) -> Column:
     whole numbers, so that the order in which tasks finish (or are run again)
     cannot change the last digit. High and low bits are summed apart, which
     keeps either sum within 64 bits for some 10^12 rows of one group; only the
-    group's total becomes a decimal, which later sums cannot overflow.
+    group's total becomes a decimal, which later sums cannot overflow. NaN has
+    no whole number and raises under ANSI; drop or impute it first.
     """
     column = F.col(value)
     if scale is None:

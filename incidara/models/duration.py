@@ -22,7 +22,8 @@ BINS = 128
 def fit_index(df: DataFrame, cols: Sequence[str] = CATEGORIES) -> StringIndexerModel:
     """Index by frequency (ties by name), all columns in one pass.
 
-    Values not seen in fitting, and nulls, get the next free number.
+    Values not seen in fitting, and nulls, get the next free number. Meant for
+    columns of few values (levels, states): all labels go to the driver.
     """
     names = list(cols)
     return StringIndexer(

@@ -21,7 +21,8 @@ def sample_bernoulli(df: DataFrame, fraction: float = FRACTION, *, seed: int) ->
 
 
 def _ticket(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
 
 
 def _height(ticket: Column) -> Column:
@@ -48,12 +49,13 @@ def sample_exact_strata(
 ) -> DataFrame:
     """Exactly ``round(fraction * rows)`` rows of every stratum, halves to even.
 
-    Every row draws a ticket, the md5 of seed and ``key`` (a row id), and the
-    lowest tickets of a stratum win. Sorting a stratum would put a large one
-    into a single task. Instead tickets are counted in bins: 1,024 narrow
-    ones for tickets up to four times the share, where the quota of all but
-    tiny strata ends, then bins of doubling width. Bins below the quota win
-    whole, and only the bin in which the quota ends is ranked.
+    Every row draws a ticket, the md5 of seed and ``key``, and the lowest
+    tickets of a stratum win. ``key`` is a row id; rows that share one share
+    their ticket. Sorting a stratum would put a large one into a single task.
+    Instead tickets are counted in bins: 1,024 narrow ones for tickets up to
+    four times the share, where the quota of all but tiny strata ends, then
+    bins of doubling width. Bins below the quota win whole, and only the bin
+    in which the quota ends is ranked.
 
     The counts hold some 1,030 rows per stratum. Rows above the highest bin
     any stratum needs are dropped before the join, which is on (stratum,
@@ -61,6 +63,8 @@ def sample_exact_strata(
     a large one pass the filter, AQE splits it (the ranking that follows has
     a shuffle of its own, over winners and quota bins only).
     """
+    if not 0 < fraction <= 1:
+        raise ValueError(f"fraction must be above 0 and at most 1, not {fraction}")
     names = list(strata)
     height = _height(F.col("_ticket"))
     spread = height / (SPREAD * fraction)  # 1.0 where the narrow bins end

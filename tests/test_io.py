@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,10 @@ def test_shared_dir_is_the_configured_one(spark):
     write_table(table, path)
     assert path.startswith(shared_dir(spark))
     assert spark.read.parquet(path).count() == 3
+
+
+def test_cluster_without_shared_folder_is_refused():
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)

@@ -55,6 +55,13 @@ def test_exact_strata_of_nothing(spark):
     assert sample_exact_strata(empty, ["part"], "id", seed=1).count() == 0
 
 
+def test_exact_strata_takes_everything_or_refuses(spark):
+    rows = spark.range(100).withColumn("part", F.col("id") % 3)
+    assert sample_exact_strata(rows, ["part"], "id", 1.0, seed=1).count() == 100
+    with pytest.raises(ValueError, match="fraction"):
+        sample_exact_strata(rows, ["part"], "id", 0.0, seed=1)
+
+
 def test_chunks_have_the_asked_size(spark):
     sizes = [
         row["count"]
