@@ -203,6 +203,9 @@ SELECT id, line_number, {", ".join(
     "duplicate_audit": f"""WITH {INC}
 SELECT count(*) AS total_rows,
        (SELECT count(*) FROM (SELECT DISTINCT city, state, severity FROM inc)) AS unique_rows
+FROM inc""",
+    "duplicate_audit_hash": f"""WITH {INC_NULLS}
+SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM inc)) AS unique_rows
 FROM inc""",
     "deduplicate": f"WITH {INC} SELECT DISTINCT city, state, severity FROM inc",
     "csv_roundtrip": "SELECT * FROM orders",

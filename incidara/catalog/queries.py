@@ -321,6 +321,11 @@ def duplicate_audit(spark, sf_dir):
     return quality.duplicate_audit(incidents_daily(spark, sf_dir).select("city", "state", "severity"))
 
 
+@query
+def duplicate_audit_hash(spark, sf_dir):
+    return quality.duplicate_audit(incidents_daily(spark, sf_dir, nulls=True), by_hash=True)
+
+
 @query
 def deduplicate(spark, sf_dir):
     return quality.deduplicate(incidents_daily(spark, sf_dir).select("city", "state", "severity"))
@@ -539,7 +544,8 @@ def cluster_nearest(spark, sf_dir):
     found = _clusters(spark, sf_dir)
 
     def squared(centre):
-        return sum(((F.col(name) - value) ** 2 for name, value in zip(clusters.FEATURES, centre)), F.lit(0.0))
+        offsets = [F.col(name) - value for name, value in zip(clusters.FEATURES, centre)]
+        return sum((offset * offset for offset in offsets), F.lit(0.0))
 
     distances = F.array(*[squared(centre) for centre in found.centres])
     away = F.get(distances, F.col("cluster")) > F.array_min(distances) * (1 + 1e-9)

@@ -60,5 +60,8 @@ def test_duplicates(spark):
     rows = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "s string, n int")
     assert tuple(duplicate_audit(rows).first()) == (3, 2)
     assert tuple(duplicate_audit(rows.limit(0)).first()) == (0, 0)
+    swapped = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "s string, t string")
+    for frame in (rows, rows.limit(0), swapped):
+        assert duplicate_audit(frame, by_hash=True).first() == duplicate_audit(frame).first()
     assert deduplicate(rows).count() == 2
     assert deduplicate(rows, ["s"]).count() == 2
