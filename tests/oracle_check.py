@@ -18,6 +18,7 @@ TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
