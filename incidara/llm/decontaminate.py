@@ -122,40 +122,47 @@ class Automaton:
                 state = length = 0
             yield state, length
 
+    def tables(self) -> tuple:
+        """The automaton as plain lists, to be broadcast."""
+        return self.next, self.link, self.length, self.mark, self.owners, self.shorts, self.window
+
     def scan(self, pieces: Iterator[list[bytes]]) -> tuple[int, list[list[int]], set[str]]:
-        """Number of words, hit runs [first, end) in order, and the items that occur."""
-        nxt, link, lengths, mark, window = self.next, self.link, self.length, self.mark, self.window
-        root = nxt[0]
-        state = length = at = 0
-        runs: list[list[int]] = []
-        items: set[str] = set()
-        for words in pieces:
-            for at, word in enumerate(words, at + 1):
-                if state:
-                    while state and word not in nxt[state]:
-                        state = link[state]
-                        length = lengths[state]
-                if word not in nxt[state]:
-                    continue
-                state = nxt[state][word]
-                length += 1
-                if length >= mark[state]:
-                    longest = window if length >= window and self.owners[state] else 0
-                    if longest:
-                        items |= self.owners[state]
-                    for size, item in self.shorts[state]:
-                        if size <= length:
-                            items.add(item)
-                            longest = max(longest, size)
-                    if longest:
-                        first = at - longest
-                        while runs and runs[-1][0] >= first:
-                            runs.pop()
-                        if runs and runs[-1][1] >= first:
-                            runs[-1][1] = at
-                        else:
-                            runs.append([first, at])
-        return at, runs, items
+        return scan_words(self.tables(), pieces)
+
+
+def scan_words(tables: tuple, pieces: Iterator[list[bytes]]) -> tuple[int, list[list[int]], set[str]]:
+    """Number of words, hit runs [first, end) in order, and the items that occur."""
+    nxt, link, lengths, mark, owners, shorts, window = tables
+    state = length = at = 0
+    runs: list[list[int]] = []
+    items: set[str] = set()
+    for words in pieces:
+        for at, word in enumerate(words, at + 1):
+            if state:
+                while state and word not in nxt[state]:
+                    state = link[state]
+                    length = lengths[state]
+            if word not in nxt[state]:
+                continue
+            state = nxt[state][word]
+            length += 1
+            if length >= mark[state]:
+                longest = window if length >= window and owners[state] else 0
+                if longest:
+                    items |= owners[state]
+                for size, item in shorts[state]:
+                    if size <= length:
+                        items.add(item)
+                        longest = max(longest, size)
+                if longest:
+                    first = at - longest
+                    while runs and runs[-1][0] >= first:
+                        runs.pop()
+                    if runs and runs[-1][1] >= first:
+                        runs[-1][1] = at
+                    else:
+                        runs.append([first, at])
+    return at, runs, items
 
 
 def _merged(runs: list[list[int]]) -> list[list[int]]:
@@ -213,13 +220,13 @@ def find_items(
         }
     )
     for shard in _shards(items, item_id, item_text, shard_words):
-        sent = context.broadcast(Automaton(shard, window))
+        sent = context.broadcast(Automaton(shard, window).tables())
 
         def scan(rows, sent=sent):
-            automaton = sent.value
+            tables = sent.value
             for row in rows:
                 *rest, _, runs, ids = row
-                n, more, new = automaton.scan(words_of(row[place]))
+                n, more, new = scan_words(tables, words_of(row[place]))
                 if more:
                     runs = _merged([*runs, *more])
                     ids = sorted({*ids, *new})

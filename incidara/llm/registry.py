@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, neighbours
+from . import decontaminate, kdshards, lines, neighbours, simhash, warc
 from .common import read
 
 
@@ -16,11 +16,32 @@ def op2_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> Da
     return decontaminate.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op8_line_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.audit(read(spark, sf_dir, "documents"))
+
+
+def op9_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdshards.shards(read(spark, sf_dir, "documents"))
+
+
+def op10_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_round_trip(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_block_matrix_neighbours,
         op2_suffix_automaton_decontamination,
+        op5_golay_simhash,
+        op8_line_run_dedup,
+        op9_kd_tree_shards,
+        op10_warc_index_merge,
     )
 }
 
@@ -63,5 +84,42 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
     CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
+""",
+    "op8_line_run_dedup": r"""
+WITH l AS (
+    SELECT doc_id, p - 1 AS pos, s[p] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+        unnest(range(1, len(s) + 1)) AS t(p)),
+n AS (
+    SELECT *, row_number() OVER w AS i, lead(line) OVER w AS after, lead(pos) OVER w AS after_pos
+    FROM l WHERE trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+two AS (
+    SELECT doc_id, pos, after_pos, row_number() OVER (PARTITION BY line, after ORDER BY doc_id, pos) AS nth
+    FROM n WHERE after IS NOT NULL),
+one AS (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth
+    FROM n WHERE len(regexp_split_to_array(trim(line), '\s+')) >= 50),
+gone AS (
+    SELECT doc_id, pos FROM two WHERE nth > 1 UNION SELECT doc_id, after_pos FROM two WHERE nth > 1
+    UNION SELECT doc_id, pos FROM one WHERE nth > 1),
+g AS (
+    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (starts) AS n_runs
+    FROM (SELECT doc_id, pos - coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), -2) > 1 AS starts FROM gone)
+    GROUP BY doc_id),
+k AS (
+    SELECT l.doc_id, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY l.pos) FILTER (gone.pos IS NULL) AS kept
+    FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id)
+SELECT k.doc_id, n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
+FROM k LEFT JOIN g USING (doc_id)
+""",
+    "op10_warc_index_merge": """
+WITH p AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)
 """,
 }
