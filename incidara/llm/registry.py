@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, kdshards, lines, neighbours, simhash, warc
+from . import bpe, decontaminate, kdshards, lines, neighbours, simhash, toxicity, warc
 from .common import read
 
 
+def tokenizer_source(path: str | None = None) -> str:
+    """The JSON text of a tokenizer; the public byte-level one unless a path is given."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    return Path(path).read_text()
+
+
 def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -16,10 +27,18 @@ def op2_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> Da
     return decontaminate.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_source())
+
+
 def op8_line_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.audit(read(spark, sf_dir, "documents"))
 
@@ -38,7 +57,9 @@ QUERIES = {
     for f in (
         op1_block_matrix_neighbours,
         op2_suffix_automaton_decontamination,
+        op4_instance_toxicity,
         op5_golay_simhash,
+        op7_bpe_transducer,
         op8_line_run_dedup,
         op9_kd_tree_shards,
         op10_warc_index_merge,
