@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, kdshards, lines, neighbours, simhash, toxicity, warc
+from . import bpe, decontaminate, kdshards, lines, neighbours, pii, repeats, simhash, toxicity, warc
 from .common import read
 
 
@@ -27,6 +27,14 @@ def op2_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> Da
     return decontaminate.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+#: Of the registered query; a deployment passes its own secret.
+PII_KEY = b"registered query"
+
+
+def op3_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.audit(read(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op4_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -35,6 +43,10 @@ def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_column_wise_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.audit(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_source())
 
@@ -57,8 +69,10 @@ QUERIES = {
     for f in (
         op1_block_matrix_neighbours,
         op2_suffix_automaton_decontamination,
+        op3_surrogate_pii,
         op4_instance_toxicity,
         op5_golay_simhash,
+        op6_column_wise_repeats,
         op7_bpe_transducer,
         op8_line_run_dedup,
         op9_kd_tree_shards,
