@@ -24,7 +24,8 @@ from ..session import stage
 from .common import map_rows
 
 LENGTH = 400
-GRAM = 32
+#: Bytes of a gram, a power of two; longer ones make fewer passages that only begin alike.
+GRAM = 128
 #: Bytes of a text whose anchors are sought at a time.
 PIECE = 1 << 20
 #: Passages in one column-wise construction; a gram's passages stay together.
@@ -199,6 +200,8 @@ def repeated_spans(
 
     passages = map_rows(texts, f"{key}, gram long, kinds long, first int, before int, passage binary", cut)
     most_kinds = shared.agg(F.max("kinds")).first()[0] or 0
+    if most_kinds > hot_gram:
+        passages = stage(passages, "cut-passages")
     calm = passages.filter(F.col("kinds") <= hot_gram).repartition("gram").sortWithinPartitions("gram")
 
     def order(rows):
