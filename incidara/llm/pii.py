@@ -59,7 +59,7 @@ _FIND = re.compile(
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?<![\w-])(?P<card>\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-])"
-    r"|(?<![\w+])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])"
+    r"|(?<![\w+])(?P<phone>\+\d{8,15}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])"
     rf"|\b(?P<title>{_TITLES})\b\.?[ \u00a0](?P<name>{_NAME}(?:[ \u00a0]{_NAME}){{0,2}})"
 )
 #: What every text with an entity has; decided by Spark, before Python sees a row.

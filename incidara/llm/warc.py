@@ -12,7 +12,6 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-
 from itertools import groupby
 from urllib.parse import urlsplit
 
@@ -36,7 +35,7 @@ def decide(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 
     Of rows with equal payloads of at least ``least`` bytes the one of largest
     page_id is kept whole; the others refer to it. Rows repeating that page_id
-    refer to it too only if their own id differs, so they are kept whole as well.
+    are kept whole as well; rows without an id refer to it like the others.
     """
     rows = pages.select(F.col("page_id").cast("long"), "url", text_of("html").alias("payload")).withColumn(
         "digest", F.sha1(F.encode("payload", "UTF-8"))
@@ -50,7 +49,7 @@ def decide(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .select("digest", "kept")
     )
     joined = rows.join(copies, "digest", "left")
-    return joined.withColumn("refers_to", F.when(F.col("kept") != F.col("page_id"), F.col("kept"))).drop("kept")
+    return joined.withColumn("refers_to", F.when(~F.col("kept").eqNullSafe(F.col("page_id")), F.col("kept"))).drop("kept")
 
 
 def _line(text: Column) -> Column:
