@@ -70,7 +70,12 @@ ev AS (
   FROM timed WHERE minutes > 0 AND minutes < 720 AND distance IS NOT NULL
 )"""
 
-HASH_SHARE = "CAST(concat('0x', substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) % 100"
+REPEATING = "city, state, severity, temperature_f, visibility_mi, precipitation_in, weather_condition"
+CITY_MEANS = """means AS (
+  SELECT city, avg(severity) AS avg_severity, avg(temperature_f) AS avg_temp, avg(humidity_pct) AS avg_humidity,
+         avg(visibility_mi) AS avg_visibility, avg(precipitation_in) AS avg_precip
+  FROM inc GROUP BY city)"""
+HASH_SHARE = "CAST(concat('0x', substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE)"
 PANEL = f"WITH {INC}, {_panel()}"
 LAGGED = f"{PANEL}, {_lagged()}"
 HOURLY = f"WITH {EVENTS}"
@@ -153,7 +158,11 @@ FROM labelled WHERE split <> 'train'""",
 SELECT city, date, accident_count, {SPLIT} AS split FROM lagged""",
     "split_hash": f"""
 SELECT event_id AS id,
-       CASE WHEN {HASH_SHARE.format(key="event_id")} < 80 THEN 'train' ELSE 'valid' END AS split
+       CASE WHEN {HASH_SHARE.format(key="event_id")} < CAST(0.8 AS DOUBLE) THEN 'train' ELSE 'valid' END AS split
+FROM events""",
+    "split_hash_fine": f"""
+SELECT event_id AS id,
+       CASE WHEN {HASH_SHARE.format(key="event_id")} < 0.125 THEN 'train' ELSE 'valid' END AS split
 FROM events""",
     "sample_exact_strata": """WITH ranked AS (
   SELECT event_id AS id, event_id % 10 AS bucket,
@@ -205,13 +214,21 @@ SELECT count(*) AS total_rows,
        (SELECT count(*) FROM (SELECT DISTINCT city, state, severity FROM inc)) AS unique_rows
 FROM inc""",
     "duplicate_audit_hash": f"""WITH {INC_NULLS}
-SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM inc)) AS unique_rows
+SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT {REPEATING} FROM inc)) AS unique_rows
 FROM inc""",
-    "deduplicate": f"WITH {INC} SELECT DISTINCT city, state, severity FROM inc",
+    "deduplicate": f"WITH {INC_NULLS} SELECT DISTINCT {REPEATING} FROM inc",
     "csv_roundtrip": "SELECT * FROM orders",
     "csv_strings": "SELECT * FROM orders",
     "csv_headerless": "SELECT * FROM orders",
-    "csv_inferred": "SELECT * FROM orders",
+    "csv_inferred": """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority,
+       'o_orderkey:int,o_custkey:int,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp,o_orderpriority:string' AS types
+FROM orders""",
+    "clean_chain": f"""WITH {INC_NULLS}, d AS (
+  SELECT city, CAST(start_time AS DATE) AS day, count(*) AS n FROM inc GROUP BY ALL)
+SELECT city, count(*) AS days, CAST(sum(n) AS BIGINT) AS accidents, CAST(14 AS INTEGER) AS n_columns
+FROM d GROUP BY city""",
     "landed_days": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate AS start_time,
        o_orderpriority
@@ -226,6 +243,32 @@ WHERE CAST(concat('0x', substr(md5(concat('42:', CAST(event_id AS VARCHAR))), 1,
   SELECT hours, count(*) AS n FROM ev GROUP BY hours)
 SELECT count(*) AS rows, round(avg(n), 6) AS mean_count, round(avg(n), 6) AS mean_prediction
 FROM hourly""",
+    "hour_tree_exact": f"""{HOURLY}, h AS (
+  SELECT hours, CAST(count(*) AS DOUBLE) AS n FROM ev GROUP BY hours),
+root AS (
+  SELECT cut FROM (
+    SELECT c.hours AS cut,
+           sum(n * n) - pow(sum(n) FILTER (h.hours <= c.hours), 2) / count(*) FILTER (h.hours <= c.hours)
+             - pow(sum(n) FILTER (h.hours > c.hours), 2) / count(*) FILTER (h.hours > c.hours) AS error
+    FROM h, (SELECT hours FROM h WHERE hours < (SELECT max(hours) FROM h)) AS c GROUP BY c.hours)
+  ORDER BY error, cut LIMIT 1),
+s AS (SELECT hours, n, hours > (SELECT cut FROM root) AS side FROM h),
+leaf AS (
+  SELECT side, cut FROM (
+    SELECT side, cut, row_number() OVER (PARTITION BY side ORDER BY error, cut) AS place FROM (
+      SELECT s.side, c.hours AS cut,
+             sum(s.n * s.n) - pow(sum(s.n) FILTER (s.hours <= c.hours), 2) / count(*) FILTER (s.hours <= c.hours)
+               - pow(sum(s.n) FILTER (s.hours > c.hours), 2) / count(*) FILTER (s.hours > c.hours) AS error
+      FROM s JOIN s AS c ON s.side = c.side
+      WHERE c.hours < (SELECT max(hours) FROM s AS m WHERE m.side = c.side) GROUP BY s.side, c.hours))
+  WHERE place = 1)
+SELECT hours, round(avg(n) OVER (PARTITION BY side, hours > coalesce(cut, hours)), 6) AS prediction
+FROM s LEFT JOIN leaf USING (side)""",
+    "cluster_profile_total": f"""WITH {INC}, {CITY_MEANS}
+SELECT count(*) AS cities, CAST(5 AS BIGINT) AS groups, round(avg(avg_temp), 6) AS mean_temp,
+       round(avg(avg_humidity), 6) AS mean_humidity, round(avg(avg_severity), 6) AS mean_severity,
+       round(avg(avg_visibility), 6) AS mean_visibility, round(avg(avg_precip), 6) AS mean_precip
+FROM means""",
     "cluster_nearest": f"""WITH {INC}
 SELECT count(DISTINCT city) AS cities, CAST(0 AS BIGINT) AS misplaced FROM inc""",
     "gbt_means": f"""{LAGGED}
@@ -253,7 +296,7 @@ FROM test WHERE city IN (SELECT city FROM largest)""",
     "duration_tree_means": f"""{HOURLY}
 SELECT count(*) AS rows, round(avg(duration_minutes), 6) AS mean_duration,
        round(avg(duration_minutes), 6) AS mean_prediction
-FROM model WHERE {HASH_SHARE.format(key="id")} < 80""",
+FROM model WHERE {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE)""",
     "model_roundtrip": f"""{HOURLY}
 SELECT count(DISTINCT hours) AS rows, CAST(0 AS BIGINT) AS mismatches FROM ev""",
 }

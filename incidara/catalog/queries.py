@@ -20,10 +20,19 @@ from incidara.catalog.fixtures import (
 from incidara.models import clusters, duration, forecast, hourly
 from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
 from incidara.operators import counts, durations, panel, quality, sampling, series, splits
-from incidara.schema import WEATHER_MEASURES
+from incidara.plans.cleaning import clean
+from incidara.schema import WEATHER_MEASURES, with_incident_names
 from incidara.session import fresh_path, pin_time_zone, stage
 from incidara.sinks import land_by_year, save_pipeline, write_csv, write_result_csv
-from incidara.sources import load_pipeline, read_inferred, read_landed, read_strings, read_typed
+from incidara.sources import (
+    load_pipeline,
+    read_inferred,
+    read_landed,
+    read_strings,
+    read_table_strings,
+    read_typed,
+    typed_incidents,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +50,11 @@ def query(build: Query) -> Query:
 STATE = ("state",)
 DAY = ["city", "date"]
 
+# Columns whose rows repeat and hold nulls.
+REPEATING = [
+    "city", "state", "severity", "temperature_f", "visibility_mi", "precipitation_in", "weather_condition",
+]
+
 # One small grid point, so that a check run takes seconds.
 DEPTH, ITERATIONS, STEP = 3, 8, 0.1
 
@@ -192,6 +206,12 @@ def split_hash(spark, sf_dir):
     return incidents_hourly(spark, sf_dir).select("id", splits.key_split_label("id").alias("split"))
 
 
+@query
+def split_hash_fine(spark, sf_dir):
+    label = splits.key_split_label("id", 0.125)
+    return incidents_hourly(spark, sf_dir).select("id", label.alias("split"))
+
+
 @query
 def split_random(spark, sf_dir):
     train, valid = splits.split_random(incidents_hourly(spark, sf_dir).select("id"))
@@ -323,12 +343,13 @@ def duplicate_audit(spark, sf_dir):
 
 @query
 def duplicate_audit_hash(spark, sf_dir):
-    return quality.duplicate_audit(incidents_daily(spark, sf_dir, nulls=True), by_hash=True)
+    rows = incidents_daily(spark, sf_dir, nulls=True).select(*REPEATING)
+    return quality.duplicate_audit(rows, by_hash=True)
 
 
 @query
 def deduplicate(spark, sf_dir):
-    return quality.deduplicate(incidents_daily(spark, sf_dir).select("city", "state", "severity"))
+    return quality.deduplicate(incidents_daily(spark, sf_dir, nulls=True).select(*REPEATING))
 
 
 def _orders_csv(spark, sf_dir, header=True):
@@ -362,7 +383,27 @@ def csv_headerless(spark, sf_dir):
 def csv_inferred(spark, sf_dir):
     orders, path = _orders_csv(spark, sf_dir)
     found = read_inferred(spark, path)
-    return found.select(*[F.col(name).cast(kind).alias(name) for name, kind in orders.dtypes])
+    types = ",".join(f"{name}:{kind}" for name, kind in found.dtypes)
+    return found.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).withColumn(
+        "types", F.lit(types)
+    )
+
+
+@query
+def clean_chain(spark, sf_dir):
+    """A raw file of more columns than are known, cleaned, read back and counted."""
+    rows = incidents_daily(spark, sf_dir, nulls=True)
+    raw = with_incident_names(rows).withColumns({"Source": F.lit("s"), "Start_Lat": F.col("severity") + 0.5})
+    path = fresh_path(spark, "chain")
+    write_csv(raw, f"{path}/raw")
+    first = typed_incidents(read_table_strings(spark, f"{path}/raw"))
+    clean(first, f"{path}/clean", as_csv=True)
+    again = read_table_strings(spark, f"{path}/clean/cleaned")
+    daily = typed_incidents(again, any_null_drop=True, keep_rest=False)
+    counted = panel.city_day_panel(panel.with_date(daily)).groupBy("city").agg(
+        F.count("*").alias("days"), F.sum("accident_count").alias("accidents")
+    )
+    return counted.withColumn("n_columns", F.lit(len(again.columns)))
 
 
 @query
@@ -488,6 +529,14 @@ def hour_tree_means(spark, sf_dir):
     )
 
 
+@query
+def hour_tree_exact(spark, sf_dir):
+    """Two levels over all hours: each cut is the one of least squared error."""
+    hours = _staged_hours(spark, sf_dir)
+    model = hourly.search_hours(hours, hours, depths=(2,), min_instances=(1,)).model
+    return model.transform(hours).select("hours", F.round("prediction", 6).alias("prediction"))
+
+
 @query
 def tuning_table(spark, sf_dir):
     return tuning_rows(spark, hourly.search_hour_tree(_staged_hours(spark, sf_dir)).rows)
@@ -496,7 +545,7 @@ def tuning_table(spark, sf_dir):
 def _duration_tree(spark, sf_dir):
     rows = stage(durations.duration_model_table(_ended(spark, sf_dir), carry=["id"]), "durations")
     train, valid = splits.split_by_key(rows, "id")
-    search = duration.search_duration_tree(train, valid, depths=(3,), min_instances=(2,))
+    search = duration.search_duration_tree(train, valid)
     return search.model.transform(train), search.model.transform(valid)
 
 
@@ -538,6 +587,19 @@ def cluster_profile(spark, sf_dir):
     return clusters.cluster_profile(_clusters(spark, sf_dir).table)
 
 
+@query
+def cluster_profile_total(spark, sf_dir):
+    """Group means weighted by their cities add up to the mean over all cities."""
+    found = _clusters(spark, sf_dir).table
+    sizes = found.groupBy("cluster").agg(F.count("*").alias("n"))
+    joined = clusters.cluster_profile(found).join(sizes, "cluster")
+    weighted = [
+        F.round(F.sum(F.col(f"mean_{m}") * F.col("n")) / F.sum("n"), 6).alias(f"mean_{m}")
+        for m in ("temp", "humidity", "severity", "visibility", "precip")
+    ]
+    return joined.agg(F.sum("n").alias("cities"), F.count("*").alias("groups"), *weighted)
+
+
 @query
 def cluster_nearest(spark, sf_dir):
     """Every city must sit in the group with the nearest centre."""

@@ -18,7 +18,8 @@ K = 5
 SEED = 42
 FEATURES = ["avg_severity", "avg_temp", "avg_humidity", "avg_visibility", "avg_precip"]
 
-ROWS_PER_PARTITION = 100_000
+#: Partitions of the city table; part of what k-means' answer depends on.
+PARTITIONS = 8
 MEAN_DIGITS = 9
 
 
@@ -31,16 +32,13 @@ class Clusters:
     centres: list[list[float]]
 
 
-def steady_layout(profile: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+def steady_layout(profile: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
     """The same rows in the same partitions in the same order on every run.
 
     k-means seeds its centres partition by partition, so its result follows
-    the layout. Hashing by city into a number of partitions that depends on
-    the row count alone, sorted within, makes the layout a function of the
-    data. Means are rounded so that summation order cannot move a row.
+    the layout. Hashing by city into a fixed number of partitions, sorted
+    within, makes the layout a function of the data. Means are rounded so that summation order cannot move a row.
     """
-    if partitions is None:
-        partitions = 1 + profile.count() // ROWS_PER_PARTITION
     rounded = {name: F.round(name, MEAN_DIGITS) for name in FEATURES}
     return (
         profile.withColumns(rounded).repartition(partitions, *keys).sortWithinPartitions(*keys)
@@ -53,13 +51,14 @@ def cluster_cities(
     k: int = K,
     seed: int = SEED,
     scale: bool = False,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
 ) -> Clusters:
     """Assign every city to one of ``k`` groups.
 
     Groups are numbered by centre (temperature, then humidity, ...), not by
     the order k-means found them in. A city without a value in some measure
-    raises. Give ``profile`` staged: the fit reads it many times.
+    raises. Give ``profile`` staged: the fit reads it many times. Another
+    number of ``partitions`` may give other groups.
     """
     city = steady_layout(profile, keys, partitions)
     prepare = [VectorAssembler(inputCols=FEATURES, outputCol="features")]

@@ -40,9 +40,11 @@ def search_tree(
 
     ``prepare`` holds fitted stages ending in a ``features`` column. They run
     once, not once per grid point. All trees are scored together, in one pass
-    over each part. ``storage`` keeps the feature vectors between fits; give
-    None for a table larger than the executors can hold, and every fit reads
-    the staged table again.
+    over each part. ``storage`` keeps the feature vectors between fits; with
+    None every fit reads the staged table again. MLlib itself keeps a binned
+    copy of the table per fit that runs, some 90 bytes per row, whatever
+    ``storage`` is: for a table larger than the executors' disks can hold
+    give ``parallelism=1`` as well.
     """
     spark = train.sparkSession
     stages = PipelineModel(stages=list(prepare))

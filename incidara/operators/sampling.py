@@ -61,7 +61,7 @@ def sample_exact_strata(
     any stratum needs are dropped before the join, which is on (stratum,
     bin): narrow bins spread evenly, and where tiny strata make a wide bin of
     a large one pass the filter, AQE splits it (the ranking that follows has
-    a shuffle of its own, over winners and quota bins only).
+    a shuffle of its own, over the rows of quota bins only).
     """
     if not 0 < fraction <= 1:
         raise ValueError(f"fraction must be above 0 and at most 1, not {fraction}")
@@ -79,7 +79,7 @@ def sample_exact_strata(
         .withColumn("_before", F.coalesce(F.sum("_rows").over(below), F.lit(0)))
         .withColumn("_quota", F.bround(F.lit(fraction) * F.sum("_rows").over(whole)))
         .filter("_before < _quota")
-        .select(*names, "_bin", (F.col("_quota") - F.col("_before")).alias("_left"))
+        .select(*names, "_bin", "_rows", (F.col("_quota") - F.col("_before")).alias("_left"))
     )
     top = quotas.agg(F.max("_bin").alias("top")).scalar()
     candidates = tickets.filter(F.col("_bin") <= top).alias("c")
@@ -87,12 +87,13 @@ def sample_exact_strata(
         Column.__and__,
         [F.col(f"c.{name}").eqNullSafe(F.col(f"q.{name}")) for name in [*names, "_bin"]],
     )
+    within = candidates.join(quotas.alias("q"), same).select("c.*", "q._left", "q._rows")
+    whole_bins = within.filter("_rows <= _left").select(*df.columns)
     ranked = (
-        candidates.join(quotas.alias("q"), same)
-        .select("c.*", "q._left")
+        within.filter("_rows > _left")
         .withColumn(
             "_rank",
             F.row_number().over(Window.partitionBy(*names, "_bin").orderBy("_ticket", key)),
         )
     )
-    return ranked.filter("_rank <= _left").select(*df.columns)
+    return whole_bins.union(ranked.filter("_rank <= _left").select(*df.columns))

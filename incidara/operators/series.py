@@ -11,8 +11,6 @@ from incidara.functions import iso_week_dates
 from incidara.operators.panel import CITY, TOP_SERIES, top_from_counts
 from incidara.operators.splits import TimeBounds
 
-BROADCAST_ROWS = 1000
-
 
 def count_series(panel: DataFrame, keys: Sequence[str] = CITY) -> DataFrame:
     return panel.select(*keys, "date", "accident_count").orderBy(*keys, "date")
@@ -47,12 +45,9 @@ def top_city_series(
 ) -> DataFrame:
     """Actual and predicted counts per day for the ``n`` largest cities.
 
-    A short list of cities is broadcast, as it has ``n`` rows by construction;
-    a long one is left to Spark's own choice of join.
+    How the cities are joined is left to Spark's own check of their size.
     """
     largest = top_from_counts(scored, n, keys).select(*keys)
-    if n <= BROADCAST_ROWS:
-        largest = F.broadcast(largest)
     return (
         scored.join(largest, list(keys), "left_semi")
         .select(

@@ -74,17 +74,18 @@ def split_random(
     return train, valid
 
 
-def key_percentile(key: str | Column) -> Column:
-    """A number 0..99 fixed by the key's value alone (md5, first 32 bits)."""
+def key_height(key: str | Column) -> Column:
+    """A number in [0, 1) fixed by the key's value alone (md5, first 32 bits)."""
     column = F.col(key) if isinstance(key, str) else key
     digest = F.md5(column.cast("string").cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2.0**32
 
 
 def key_split_label(key: str | Column, train_share: float = TRAIN_SHARE) -> Column:
-    return F.when(key_percentile(key) < round(train_share * 100), F.lit("train")).otherwise(
-        F.lit("valid")
-    )
+    """train where the key's height is below the share, else valid; so is a null key."""
+    if not 0 < train_share < 1:
+        raise ValueError(f"the training share must be between 0 and 1, not {train_share}")
+    return F.when(key_height(key) < train_share, F.lit("train")).otherwise(F.lit("valid"))
 
 
 def split_by_key(

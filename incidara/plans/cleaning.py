@@ -10,10 +10,10 @@ from incidara.operators.quality import (
     deduplicate,
     drop_nulls,
     duplicate_audit,
-    impute_mean,
-    nonnull_profile,
+    fill_means,
+    profile_and_means,
 )
-from incidara.schema import WEATHER_MEASURES
+from incidara.schema import WEATHER_MEASURES, with_incident_names, with_library_names
 from incidara.session import stage
 from incidara.sinks import write_csv, write_table
 
@@ -24,16 +24,23 @@ def clean(
     measures: Sequence[str] = WEATHER_MEASURES,
     keep_duplicates: bool = True,
     as_csv: bool = False,
+    published_names: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Write the cleaned table to ``out``/cleaned and return the audits.
 
-    Duplicates are counted and, by default, kept. The audits read the
-    written table where they can, not the raw one again.
+    All columns are written. Duplicates are counted, by row hashes of the
+    written table, and by default kept. The raw table is read twice: once for
+    non-null counts and means together, once to write. ``published_names``
+    writes known columns under the published file's names; by default so for
+    CSV. The returned ``cleaned`` table has the names used here either way.
     """
     spark = incidents.sparkSession
-    filled = drop_nulls(impute_mean(incidents, measures), measures)
+    profile, means = profile_and_means(incidents, measures)
+    filled = drop_nulls(fill_means(incidents, means), measures)
     if not keep_duplicates:
         filled = deduplicate(filled)
+    if as_csv if published_names is None else published_names:
+        filled = with_incident_names(filled)
     path = f"{out}/cleaned"
     if as_csv:
         write_csv(filled, path)
@@ -42,7 +49,7 @@ def clean(
         write_table(filled, path)
         written = spark.read.schema(filled.schema).parquet(path)
     return {
-        "non_null": stage(nonnull_profile(incidents), "non-null"),
-        "duplicates": stage(duplicate_audit(written), "duplicates"),
-        "cleaned": written,
+        "non_null": profile,
+        "duplicates": stage(duplicate_audit(written, by_hash=True), "duplicates"),
+        "cleaned": with_library_names(written),
     }

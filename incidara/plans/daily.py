@@ -33,6 +33,7 @@ from incidara.operators.panel import (
 from incidara.operators.quality import drop_nulls
 from incidara.operators.series import split_series, top_city_series
 from incidara.operators.splits import TimeBounds, split_bounds, split_by_time
+from incidara.schema import PANEL_MEASURES
 from incidara.session import stage
 from incidara.sinks import save_pipeline, write_lines, write_table
 
@@ -55,11 +56,13 @@ def daily_forecast(
 
     The incident table is read once, for the rollup to (city, day); that
     small table is staged and everything else is derived from it.
-    ``required`` names the columns whose missing values drop a row
-    (``None``: every column of ``incidents``); ``exact_scale`` keeps sums to
-    that many decimals, so that a repeated run gives the same means.
+    ``required`` names the columns whose missing values drop a row (``None``:
+    those that the analysis uses); ``exact_scale`` keeps sums to that many
+    decimals, so that a repeated run gives the same means.
     """
     spark = incidents.sparkSession
+    if required is None:
+        required = ["start_time", *keys, *PANEL_MEASURES.values()]
     usable = with_date(drop_nulls(incidents, required))
     rollup = stage(day_rollup(usable, keys, exact_scale=exact_scale), "rollup")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from incidara.models.duration import search_duration_tree
@@ -18,8 +19,15 @@ from incidara.session import stage
 from incidara.sinks import write_result_csv, write_table
 
 
+USED = ["ID", "Start_Time", "End_Time", "Severity", "State", "Distance(mi)"]
+
+
 def duration_prediction(
-    raw: DataFrame, out: str, any_null_drop: bool = True, parallelism: int = PARALLEL_FITS
+    raw: DataFrame,
+    out: str,
+    any_null_drop: bool = True,
+    parallelism: int = PARALLEL_FITS,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> TreeSearch:
     """Run on an all-string scan and write under ``out``.
 
@@ -28,11 +36,10 @@ def duration_prediction(
     task cannot move a row between training and validation.
     """
     spark = raw.sparkSession
-    used = ["ID", "Start_Time", "End_Time", "Severity", "State", "Distance(mi)"]
-    rows = parsed_strings(drop_nulls(raw, None if any_null_drop else used))
+    rows = parsed_strings(drop_nulls(raw, None if any_null_drop else USED))
     table = stage(duration_model_table(rows, carry=["id"]), "durations")
     train, valid = split_by_key(table, "id")
-    search = search_duration_tree(train, valid, parallelism=parallelism)
+    search = search_duration_tree(train, valid, parallelism=parallelism, storage=storage)
     write_table(tuning_table(spark, search.rows), f"{out}/tuning")
     scored = search.model.transform(valid)
     write_result_csv(mean_duration_by_hour(scored), f"{out}/mean_duration_by_hour", ["hour"])

@@ -82,6 +82,11 @@ def with_incident_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({name: original for original, name, _ in INCIDENT_COLUMNS})
 
 
+def with_library_names(df: DataFrame) -> DataFrame:
+    """Incident columns of a published file under the names used here."""
+    return df.withColumnsRenamed({original: name for original, name, _ in INCIDENT_COLUMNS})
+
+
 def with_result_names(df: DataFrame, names: dict[str, str] = RESULT_NAMES) -> DataFrame:
     """Result columns under their published names."""
     return df.withColumnsRenamed(names)

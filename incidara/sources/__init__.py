@@ -1,11 +1,21 @@
 """Readers."""
 
 from incidara.sources.artifacts import cluster_by_id, read_cluster_profile, read_importances
-from incidara.sources.csv import read_incidents, read_inferred, read_strings, read_typed
+from incidara.sources.csv import (
+    as_published,
+    read_incidents,
+    read_inferred,
+    read_strings,
+    read_table_strings,
+    read_typed,
+    require_columns,
+    typed_incidents,
+)
 from incidara.sources.models import load_pipeline
 from incidara.sources.tables import read_landed
 
 __all__ = [
+    "as_published",
     "cluster_by_id",
     "load_pipeline",
     "read_cluster_profile",
@@ -14,5 +24,8 @@ __all__ = [
     "read_inferred",
     "read_landed",
     "read_strings",
+    "read_table_strings",
     "read_typed",
+    "require_columns",
+    "typed_incidents",
 ]

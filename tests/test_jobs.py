@@ -12,7 +12,7 @@ from incidara.plans.cleaning import clean
 from incidara.plans.daily import daily_forecast
 from incidara.plans.durations import duration_prediction
 from incidara.plans.hourly import hourly_counts
-from incidara.sources import load_pipeline, read_incidents, read_landed, read_strings
+from incidara.sources import load_pipeline, read_incidents, read_landed, read_strings, read_table_strings
 
 HEADER = (
     "ID,Severity,Start_Time,End_Time,Distance(mi),City,State,Temperature(F),Humidity(%),"
@@ -118,3 +118,51 @@ def test_command_line_lands(spark, csv_file, tmp_path):
     main(["land", csv_file, out])
     assert read_landed(spark, out, date(2020, 2, 1)).count() < 4000
     assert read_landed(spark, out).count() == 4000
+
+
+def _wide_csv(tmp_path, bad_ends: int = 0) -> tuple[str, int]:
+    """A file of 14 columns, in other cases than published; its rows without a missing value."""
+    lines = [HEADER.replace("Start_Time", "start_time") + ",Source,Start_Lat"]
+    for n in range(2000):
+        when = datetime(2020, 1, 1) + timedelta(hours=5 * n)
+        end = "bad" if bad_ends and n % bad_ends == 0 else when + timedelta(minutes=10 + n % 300)
+        temp = "" if n % 50 == 7 else f"{n % 90}.5"
+        lines.append(f"A-{n},{1 + n % 4},{when},{end},{n % 9}.25,{'ABCDE'[n % 5]},S{n % 3},{temp},50.0,10.0,0.1,Clear,x,{n}")
+    path = tmp_path / "wide.csv"
+    path.write_text("\n".join(lines))
+    return str(path), sum(n % 50 != 7 for n in range(2000))
+
+
+GRID = ["--depths", "2", "--iterations", "2", "--steps", "0.3", "--valid-start", "2020-09-01", "--test-start", "2020-12-01"]
+
+
+@pytest.mark.parametrize("first", ["clean-csv", "clean", "land", None])
+def test_jobs_read_what_jobs_write(spark, tmp_path, first):
+    path, complete = _wide_csv(tmp_path, bad_ends=10)
+    if first:
+        out = str(tmp_path / "one")
+        main([first.split("-")[0], path, out, *["--csv"] * first.endswith("csv")])
+        path = out if first == "land" else f"{out}/cleaned"
+    table = read_table_strings(spark, path)
+    assert len(table.columns) == 14 and {"Source", "Start_Lat", "ID", "Start_Time"} <= set(table.columns)
+    main(["daily", path, str(tmp_path / "two"), *GRID])
+    counted = spark.read.parquet(str(tmp_path / "two" / "top_cities")).agg({"total_accidents": "sum"}).first()[0]
+    # rows whose end does not parse count, where the file at hand still holds them as they were
+    unread = sum(n % 10 == 0 and (first is None and n % 50 != 7 or first is not None) for n in range(2000))
+    want = {None: complete, "clean-csv": 2000 - unread, "clean": 2000 - unread}
+    lost = sum(n % 10 == 0 or n % 50 == 7 for n in range(2000))
+    assert counted == want.get(first, 2000 - lost)
+
+
+def test_duration_reads_the_cleaned_table(spark, tmp_path):
+    path, _ = _wide_csv(tmp_path)
+    main(["clean", path, str(tmp_path / "one")])
+    main(["duration", str(tmp_path / "one" / "cleaned"), str(tmp_path / "two"), "--parallelism", "1", "--no-cache"])
+    assert spark.read.csv(str(tmp_path / "two" / "mean_duration_by_hour"), header=True).count() > 0
+
+
+def test_a_missing_column_is_named(spark, tmp_path):
+    path = tmp_path / "short.csv"
+    path.write_text("ID,Start_Time\n1,2020-01-01 00:00:00")
+    with pytest.raises(ValueError, match="Severity"):
+        main(["hourly", str(path), str(tmp_path / "out")])

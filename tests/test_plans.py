@@ -8,8 +8,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
 from incidara.catalog.fixtures import incidents_daily, table
+from incidara.catalog.oracle import ORACLE
+from incidara.catalog.queries import QUERIES
 from incidara.operators.panel import city_day_join, city_day_panel, lag_features, top_cities
 from incidara.operators.quality import drop_nulls
 
@@ -19,9 +20,9 @@ SF = "/root/testdata/sf0.001"
 EAGER = {
     "duration_tree_means", "gbt_means", "model_roundtrip", "csv_roundtrip", "csv_strings",
     "csv_headerless", "csv_inferred", "landed_days", "hour_result_csv",
-    "hour_tree_means", "cluster_nearest",
+    "hour_tree_means", "hour_tree_exact", "cluster_nearest", "cluster_profile_total", "clean_chain",
 }
-LAZY = sorted(set(oracle_sql()) - EAGER)
+LAZY = sorted(set(ORACLE) - EAGER)
 
 
 def plan_of(df) -> str:
@@ -30,7 +31,7 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_no_python_no_single_task_window(spark, name):
-    plan = plan_of(queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert forbidden not in plan
     for window in re.findall(r"Window \[.*", plan):

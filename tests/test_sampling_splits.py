@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from incidara.operators.sampling import chunk_of, sample_bernoulli, sample_exact_strata
 from incidara.operators.splits import (
     TimeBounds,
-    key_percentile,
+    key_height,
+    key_split_label,
     split_bounds,
     split_by_key,
     split_by_time,
@@ -88,8 +89,27 @@ def test_key_split_does_not_follow_the_layout(spark):
     again = {r.id for r in split_by_key(ids.repartition(7), "id")[0].collect()}
     rest = {r.id for r in split_by_key(ids, "id")[1].collect()}
     assert first == again and len(first) + len(rest) == 10_000
-    spread = ids.select(key_percentile("id").alias("p")).agg(F.min("p"), F.max("p")).first()
-    assert tuple(spread) == (0, 99)
+    low, high = ids.select(key_height("id").alias("p")).agg(F.min("p"), F.max("p")).first()
+    assert 0 <= low < 0.01 and 0.99 < high < 1
+
+
+@pytest.mark.parametrize("share", [0.004, 0.125, 0.996])
+def test_key_split_keeps_any_share(spark, share):
+    train, valid = split_by_key(spark.range(100_000), "id", share)
+    n = train.count()
+    assert abs(n - 100_000 * share) < 5 * (100_000 * share * (1 - share)) ** 0.5
+    assert n + valid.count() == 100_000
+
+
+@pytest.mark.parametrize("share", [0, 1, -0.1, 1.5])
+def test_key_split_refuses_empty_parts(share):
+    with pytest.raises(ValueError):
+        key_split_label("id", share)
+
+
+def test_null_keys_are_for_validation(spark):
+    rows = spark.createDataFrame([(None,)], "id long")
+    assert [r.count() for r in split_by_key(rows, "id")] == [0, 1]
 
 
 def test_time_split_bounds_are_half_open(spark):
