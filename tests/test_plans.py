@@ -74,7 +74,7 @@ def test_top_cities_has_no_global_sort(spark):
 
 
 def test_week_reaches_the_scan(spark):
-    plan = plan_of(queries()["week_slice"](spark, SF))
+    plan = plan_of(QUERIES["week_slice"](spark, SF))
     assert "GreaterThanOrEqual(o_orderdate,1998-03-02" in plan
 
 
@@ -85,5 +85,5 @@ def test_date_filter_stays_above_the_lag(spark):
 
 
 def test_columns_are_pruned(spark):
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(queries()["hour_counts"](spark, SF)))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(QUERIES["hour_counts"](spark, SF)))
     assert schemas == ["ts:timestamp_ntz"] or schemas == ["ts:timestamp_ntz,event_type:string"]
