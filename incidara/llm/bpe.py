@@ -26,10 +26,11 @@ from .common import map_rows
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a text that are split at a time; a cut falls before a single blank.
 PIECE = 1 << 16
-#: Pieces of text whose tokens a worker remembers, and the longest of them.
-CACHE_ROWS, CACHE_CHARS = 600_000, 32
+#: Pieces of text whose tokens a worker remembers (twice: recent and older ones), and the
+#: longest of them.
+CACHE_ROWS, CACHE_CHARS = 200_000, 32
 #: Pairs of tokens of which a worker remembers whether they fit.
-KNOWN_PAIRS = 1_000_000
+KNOWN_PAIRS = 500_000
 #: Bytes that wait before a longer piece is looked at for stable tokens.
 STEP = 256
 #: Tokens decoded at a time.
@@ -230,13 +231,17 @@ class Words(dict):
 
     def __init__(self, tables: dict):
         super().__init__()
+        self.older: dict[str, bytes] = {}  # what was in use before the last turn
         self.machine = Transducer(tables)
         self.special = tables["special"]
 
     def __missing__(self, word: str) -> bytes:
-        packed = self.ids(" " + word)
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self.ids(" " + word)
         if len(word) <= CACHE_CHARS:
             if len(self) >= CACHE_ROWS:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed

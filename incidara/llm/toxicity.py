@@ -28,9 +28,9 @@ STEMS = range(4, 9)
 ROUNDS = 24
 THRESHOLD = 0.7
 #: Counts of features that a task holds before it hands them on.
-COUNTED = 300_000
+COUNTED = 150_000
 #: Words of which a worker remembers the weight.
-WORDS_KNOWN = 300_000
+WORDS_KNOWN = 150_000
 
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"\w+")
