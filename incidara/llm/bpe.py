@@ -148,47 +148,58 @@ class Transducer:
                     return False
         return True
 
-    def stream(self, parts: Iterable[bytes], step: int = 0) -> Iterator[int]:
-        """The ids of one piece that comes in parts; with ``step``, as soon as the bytes
-        that wait are that many and some are stable, otherwise at the end."""
+    def whole(self, data: bytes) -> list[int]:
+        """The ids of a short piece."""
+        last = [-1]
+        self._read(data, last, [(0, self.root)])
+        return self._chain(last, len(data))
+
+    def stream(self, parts: Iterable[bytes], step: int) -> Iterator[int]:
+        """The ids of one piece that comes in parts, looked at for stable ones every
+        ``step`` bytes."""
+        last, open_at = [-1], [(0, self.root)]
+        for part in parts:
+            for at in range(0, len(part), step):
+                open_at = self._read(part[at : at + step], last, open_at)
+                agreed = self._agreed(last, open_at)
+                if agreed:
+                    yield from self._chain(last, agreed)
+                    last = last[agreed:]
+                    open_at = [(place - agreed, node) for place, node in open_at]
+        yield from self._chain(last, len(last) - 1)
+
+    def _read(self, data: bytes, last: list[int], open_at: list) -> list:
+        """Append to ``last``, by length of the prefix since the last stable token, its last
+        token; return the open places after ``data``."""
         root, known = self.root, self.known
         if len(known) > KNOWN_PAIRS:
             known.clear()
-        last = [-1]  # by length of the prefix since the last stable token: its last token
-        open_at = [(0, root)]
-        end = 0
-        for part in parts:
-            for byte in part:
-                end += 1
-                found = -1
-                still = []
-                for at, node in open_at:
-                    node = node.get(byte)
-                    if node is None:
-                        continue
-                    still.append((at, node))
-                    if found < 0 and -1 in node:
-                        token, left = node[-1], last[at]
-                        if left < 0:
+        for byte in data:
+            found = -1
+            still = []
+            for place in open_at:
+                node = place[1].get(byte)
+                if node is None:
+                    continue
+                at = place[0]
+                still.append((at, node))
+                if found < 0 and -1 in node:
+                    token, left = node[-1], last[at]
+                    if left < 0:
+                        found = token
+                    else:
+                        pair = left << 24 | token
+                        fits = known.get(pair)
+                        if fits is None:
+                            fits = known[pair] = self.compatible(left, token)
+                        if fits:
                             found = token
-                        else:
-                            pair = left << 24 | token
-                            fits = known.get(pair)
-                            if fits is None:
-                                fits = known[pair] = self.compatible(left, token)
-                            if fits:
-                                found = token
-                if found < 0:
-                    raise ValueError("the vocabulary lacks a byte")
-                last.append(found)
-                still.append((end, root))
-                open_at = still
-                if step and end >= step and (agreed := self._agreed(last, open_at)):
-                    yield from self._chain(last, agreed)
-                    last = last[agreed:]
-                    open_at = [(at - agreed, node) for at, node in open_at]
-                    end -= agreed
-        yield from self._chain(last, end)
+            if found < 0:
+                raise ValueError("the vocabulary lacks a byte")
+            still.append((len(last), root))
+            last.append(found)
+            open_at = still
+        return open_at
 
     def _agreed(self, last: list[int], open_at: list) -> int:
         """The place that the encodings up to all open places share."""
@@ -250,7 +261,7 @@ class Words(dict):
         out = array("I")
         for word in _SPLIT.findall(text):
             data = word.encode()
-            out.extend(self.machine.stream([data], len(data) > STEP and STEP))
+            out.extend(self.machine.stream([data], STEP) if len(data) > STEP else self.machine.whole(data))
         return out.tobytes()
 
 
