@@ -16,6 +16,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -28,7 +29,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PIECE = 1 << 16
 #: Pieces of text whose tokens a worker remembers (twice: recent and older ones), and the
 #: longest of them.
-CACHE_ROWS, CACHE_CHARS = 200_000, 32
+CACHE_ROWS, CACHE_CHARS = 250_000, 32
 #: Pairs of tokens of which a worker remembers whether they fit.
 KNOWN_PAIRS = 500_000
 #: Bytes that wait before a longer piece is looked at for stable tokens.
@@ -66,20 +67,6 @@ def load(source: str) -> dict:
     }
 
 
-def edges(merges: list[tuple[int, int]], made: list[int], side: int) -> dict[int, list[tuple[int, int]]]:
-    """By token: what stands at its left (0) or right (1) edge while it is made.
-
-    Each with the rank of the merge that ends it; the token itself stays. A
-    token that no merge makes has itself alone.
-    """
-    out: dict[int, list[tuple[int, int]]] = {}
-    for rank, (pair, token) in enumerate(zip(merges, made)):
-        if token not in out:
-            inner = out.get(pair[side], [(pair[side], _NEVER)])
-            out[token] = [*((part, min(end, rank)) for part, end in inner), (token, _NEVER)]
-    return out
-
-
 def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
     """Bytes after which no text can change a token any more.
 
@@ -120,39 +107,94 @@ class Transducer:
 
     def __init__(self, tables: dict):
         ids = tables["ids"]
-        self.longest = tables["longest"]
+        self.ids = ids
+        #: By the first four bytes: the longest token that begins so.
+        self.reach: dict[bytes, int] = {}
+        for token in ids:
+            self.reach[token[:4]] = max(self.reach.get(token[:4], 1), len(token))
         self.lengths = {i: len(token) for token, i in ids.items()}
-        self.root: dict = {}
-        for token, i in ids.items():
-            node = self.root
-            for byte in token:
-                node = node.setdefault(byte, {})
-            node[-1] = i
         pairs = [(ids[a], ids[b]) for a, b in tables["merges"]]
-        made = [ids[a + b] for a, b in tables["merges"]]
         self.ranks = {pair: rank for rank, pair in reversed(list(enumerate(pairs)))}
-        self.left_edges, self.right_edges = edges(pairs, made, 0), edges(pairs, made, 1)
+        #: By token: the rank of the first merge that makes it, and its two parts.
+        self.made: dict[int, tuple[int, int, int]] = {}
+        for rank, ((a, b), (left, right)) in enumerate(zip(tables["merges"], pairs)):
+            self.made.setdefault(ids[a + b], (rank, left, right))
         self.known: dict[int, bool] = {}
 
+    @cached_property
+    def root(self) -> dict:
+        """The vocabulary's trie; only pieces beyond the lookahead need it."""
+        root: dict = {}
+        for token, i in self.ids.items():
+            node = root
+            for byte in token:
+                node = node.setdefault(byte, {})
+            node[-1] = i
+        return root
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges leave two neighbouring tokens as they are.
 
         They do unless a merge across the border comes before the merges that use
         up its parts; of equal merges the leftmost comes first.
         """
-        ranks = self.ranks
-        for a, a_ends in self.right_edges.get(left, [(left, _NEVER)]):
-            for b, b_ends in self.left_edges.get(right, [(right, _NEVER)]):
-                rank = ranks.get((a, b), _NEVER)
-                if rank < a_ends and rank <= b_ends and rank < _NEVER:
-                    return False
-        return True
+        ranks, made, basic = self.ranks.get, self.made.get, (-1, -1, -1)
+        a_ends = b_ends = _NEVER
+        # back in time: of the parts at the border the later one gives way to its own part
+        while True:
+            rank = ranks((left, right), _NEVER)
+            if rank < a_ends and rank <= b_ends:
+                return False
+            a_made, _, a_part = made(left, basic)
+            b_made, b_part, _ = made(right, basic)
+            if a_made > b_made:
+                left, a_ends = a_part, a_made
+            elif b_made >= 0:
+                right, b_ends = b_part, b_made
+            else:
+                return True
 
     def whole(self, data: bytes) -> list[int]:
-        """The ids of a short piece."""
-        last = [-1]
-        self._read(data, last, [(0, self.root)])
-        return self._chain(last, len(data))
+        """The ids of a piece that is in hand whole, as short ones are within the lookahead.
+
+        Takes the longest token that fits the one before it; where none fits, the
+        place is closed and the token that led there gives way to a shorter one.
+        """
+        get, known, reach = self.ids.get, self.known, self.reach
+        if len(known) > KNOWN_PAIRS:
+            known.clear()
+        n, at, left = len(data), 0, -1
+        out: list[int] = []
+        sizes: list[int] = []
+        closed: set[int] = set()
+        size = min(n, reach.get(data[:4], 3))
+        while at < n:
+            while size:
+                token = get(data[at : at + size])
+                if token is not None and at + size not in closed:
+                    if left < 0:
+                        break
+                    pair = left << 24 | token
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = known[pair] = self.compatible(left, token)
+                    if fits:
+                        break
+                size -= 1
+            if size:
+                out.append(token)
+                sizes.append(size)
+                at, left = at + size, token
+                size = min(n - at, reach.get(data[at : at + 4], 3))
+            else:
+                if not out:
+                    raise ValueError("the vocabulary lacks a byte")
+                closed.add(at)
+                out.pop()
+                size = sizes.pop()
+                at, left = at - size, out[-1] if out else -1
+                size -= 1
+        return out
 
     def stream(self, parts: Iterable[bytes], step: int) -> Iterator[int]:
         """The ids of one piece that comes in parts, looked at for stable ones every
