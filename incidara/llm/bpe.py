@@ -5,7 +5,8 @@ one token that ends there and is compatible with the last token of what comes
 before it. Two tokens are compatible when the merges leave them as they are side
 by side. A token is stable once the encodings of all prefixes from which a token may
 still begin agree on it; it is then emitted and its bytes are forgotten. How far
-agreement can trail is bounded by the merge list alone (``sufficient_lookahead``).
+agreement can trail is bounded by the merge list alone (``sufficient_lookahead``);
+a piece shorter than that is in hand whole, and its tokens are found going ahead.
 """
 
 from __future__ import annotations
@@ -62,7 +63,6 @@ def load(source: str) -> dict:
         "merges": merges,
         "special": special,
         "table": table,
-        "longest": max(map(len, ids)),
         "lookahead": sufficient_lookahead(merges),
     }
 

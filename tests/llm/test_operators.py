@@ -373,6 +373,15 @@ def test_stream_keeps_little_and_decodes_broken_bytes(library):
     assert "".join(bpe.decode([array("I", ids).tobytes()], tables["table"])) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_whole_pieces_equal_streamed_ones():
+    machine = bpe.Transducer(bpe.load(tokenizer_source()))
+    rng = random.Random(7)
+    for n in range(2_000):
+        letters = rng.choice([b"ab", b" aeinrst", b"-=*", "é中😀".encode(), b"0123456789", bytes(range(256))])
+        data = bytes(rng.choice(letters) for _ in range(rng.choice([1, 4, 12, 90])))
+        assert machine.whole(data) == list(machine.stream([data], 1 + n % 9)), data
+
+
 def test_bpe_round_trip_of_odd_rows(docs, empty, library):
     got = rows_of(bpe.round_trip(docs, tokenizer_source()))
     want = []
