@@ -108,6 +108,45 @@ def _index(column: str) -> str:
 )"""
 
 
+def _best_cut(name: str, table: str, label: str, values: dict[str, str]) -> str:
+    """CTE ``name``: feature, cut and the means of ``label`` up to the cut and above it, for the
+    cut of least squared error over ``table``; ``values`` gives each feature's ordered value."""
+    long = " UNION ALL ".join(
+        f"SELECT '{feature}' AS feature, CAST({value} AS DOUBLE) AS value, count(*) AS n, sum({label}) AS s"
+        f" FROM {table} GROUP BY ALL"
+        for feature, value in values.items()
+    )
+    return f"""
+{name}_cells AS ({long}),
+{name}_sums AS (
+  SELECT feature, value AS cut, sum(n) OVER upto AS n_low, sum(s) OVER upto AS s_low,
+         sum(n) OVER whole AS n_all, sum(s) OVER whole AS s_all
+  FROM {name}_cells
+  WINDOW upto AS (PARTITION BY feature ORDER BY value), whole AS (PARTITION BY feature)),
+{name} AS (
+  SELECT feature, cut, s_low / n_low AS low, (s_all - s_low) / (n_all - n_low) AS high
+  FROM {name}_sums WHERE n_low < n_all
+  ORDER BY s_low * s_low / n_low + (s_all - s_low) * (s_all - s_low) / (n_all - n_low) DESC LIMIT 1)"""
+
+
+def _by_cut(name: str, values: dict[str, str]) -> str:
+    value = " ".join(f"WHEN '{feature}' THEN {value}" for feature, value in values.items())
+    return f"CASE WHEN CASE {name}.feature {value} END <= {name}.cut THEN {name}.low ELSE {name}.high END"
+
+
+CALENDAR = {"day_of_week": "dayofweek(date)", "month": "month(date)"}
+BOOSTED = f"""{LAGGED}, days AS (
+  SELECT city, date, ln(1 + accident_count) AS y FROM lagged),
+train AS (SELECT * FROM days WHERE date < DATE '2000-01-01'),
+{_best_cut("one", "train", "y", CALENDAR)},
+rest AS (SELECT date, 2 * (y - {_by_cut("one", CALENDAR)}) AS residual FROM train, one),
+{_best_cut("two", "rest", "residual", CALENDAR)},
+boosted AS (
+  SELECT city, date, y, {_by_cut("one", CALENDAR)} AS first,
+         {_by_cut("one", CALENDAR)} + CAST(0.1 AS DOUBLE) * ({_by_cut("two", CALENDAR)}) AS second
+  FROM days, one, two)"""
+BY_SEVERITY = {"hour": "hour", "severity": "place"}
+
 ORACLE: dict[str, str] = {
     "city_day_panel": f"{PANEL} SELECT {PANEL_COLUMNS} FROM panel",
     "city_day_join": f"{PANEL} SELECT {PANEL_COLUMNS} FROM panel",
@@ -275,6 +314,23 @@ SELECT count(DISTINCT city) AS cities, CAST(0 AS BIGINT) AS misplaced FROM inc""
 SELECT count(*) AS rows, round(avg(ln(1 + accident_count)), 6) AS mean_label,
        round(avg(ln(1 + accident_count)), 6) AS mean_prediction
 FROM lagged WHERE date < DATE '2000-01-01'""",
+    "gbt_exact": f"""{BOOSTED}
+SELECT city, date, round(second, 6) AS prediction FROM boosted WHERE date >= DATE '2001-01-01'""",
+    "gbt_grid_exact": f"""{BOOSTED}, errors AS (
+  SELECT sqrt(avg(pow(y - first, 2))) AS one_cut, sqrt(avg(pow(y - second, 2))) AS two_cuts
+  FROM boosted WHERE date >= DATE '2000-01-01' AND date < DATE '2001-01-01')
+SELECT CAST(1 AS BIGINT) AS max_iter, round(one_cut, 6) AS rmse, one_cut <= two_cuts AS is_best FROM errors
+UNION ALL
+SELECT CAST(2 AS BIGINT), round(two_cuts, 6), two_cuts < one_cut FROM errors""",
+    "duration_tree_exact": f"""{HOURLY}, parts AS (
+  SELECT *, {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE) AS in_train FROM model),
+places AS (
+  SELECT severity, row_number() OVER (ORDER BY avg(duration_minutes)) AS place
+  FROM parts WHERE in_train GROUP BY severity),
+placed AS (SELECT * FROM parts JOIN places USING (severity)),
+train AS (SELECT * FROM placed WHERE in_train),
+{_best_cut("one", "train", "duration_minutes", BY_SEVERITY)}
+SELECT id, round({_by_cut("one", BY_SEVERITY)}, 6) AS prediction FROM placed, one WHERE NOT in_train""",
     "string_index": f"""{HOURLY}, {_index("event_type")}, {_index("state")}
 SELECT id, event_type, state, event_type_idx, state_idx
 FROM ev JOIN event_type_rank USING (event_type) JOIN state_rank USING (state)""",

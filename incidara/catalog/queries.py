@@ -57,6 +57,8 @@ REPEATING = [
 
 # One small grid point, so that a check run takes seconds.
 DEPTH, ITERATIONS, STEP = 3, 8, 0.1
+# Features of few values, so that SQL can try every cut.
+CALENDAR = ["day_of_week", "month"]
 
 
 def _panel(spark, sf_dir, keys=panel.CITY):
@@ -487,6 +489,27 @@ def gbt_means(spark, sf_dir):
     )
 
 
+@query
+def gbt_exact(spark, sf_dir):
+    """Two boosted cuts by weekday or month, scored on later days: each is the one of least
+    squared error, the second on twice the residual and weighted by the step."""
+    train, _, test = _forecast_parts(spark, sf_dir)
+    model = forecast.fit_forecast(train, 1, 2, STEP, features=CALENDAR)
+    return forecast.score_forecast(model, test).select(
+        *DAY, F.round("prediction", 6).alias("prediction")
+    )
+
+
+@query
+def gbt_grid_exact(spark, sf_dir):
+    """Validation errors of one and of two such cuts, read from one fit."""
+    train, valid, _ = _forecast_parts(spark, sf_dir)
+    search = forecast.search_forecast(train, valid, (1,), (1, 2), (STEP,), features=CALENDAR)
+    return tuning_rows(spark, search.rows).select(
+        "max_iter", F.round("rmse", 6).alias("rmse"), "is_best"
+    )
+
+
 @query
 def gbt_grid(spark, sf_dir):
     train, valid, _ = _forecast_parts(spark, sf_dir)
@@ -572,6 +595,18 @@ def duration_tree_means(spark, sf_dir):
     )
 
 
+@query
+def duration_tree_exact(spark, sf_dir):
+    """One cut by hour or severity: the one of least squared error, severities ordered by
+    their mean."""
+    rows = stage(durations.duration_model_table(_ended(spark, sf_dir), carry=["id"]), "durations")
+    train, valid = splits.split_by_key(rows, "id")
+    search = duration.search_duration_tree(
+        train, valid, (1,), (1,), features=["hour", "severity_idx"]
+    )
+    return search.model.transform(valid).select("id", F.round("prediction", 6).alias("prediction"))
+
+
 def _clusters(spark, sf_dir):
     rollup = panel.day_rollup(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
     return clusters.cluster_cities(stage(panel.profile_from_rollup(rollup), "profile"))

@@ -43,10 +43,11 @@ def search_duration_tree(
     min_instances: Sequence[int] = MIN_INSTANCES,
     parallelism: int = PARALLEL_FITS,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    features: Sequence[str] = FEATURES,
 ) -> TreeSearch:
     """Indexers see the training part only. Give both parts staged."""
     index = fit_index(train)
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features")
     return search_tree(
         [index, vectors],
         train,

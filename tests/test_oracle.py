@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from oracle_check import compare, connect
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 
@@ -28,3 +29,12 @@ def test_query_gives_rows(spark, name):
 
 def test_entry_gives_rows(spark):
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["gbt_exact", "duration_tree_exact", "hour_tree_exact"])
+def test_sql_refuses_a_constant_model(spark, con, name):
+    def constant(session, sf_dir):
+        found = queries()[name](session, sf_dir)
+        return found.withColumn("prediction", F.lit(found.agg(F.avg("prediction")).first()[0]))
+
+    assert compare(spark, con, constant, oracle_sql()[name], SF) is not None
