@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows and bytes that a Python worker holds at once; long texts make the bytes count.
 BATCH_ROWS = 1024
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
