@@ -16,7 +16,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
 from .common import map_rows, small_batches
@@ -159,6 +159,24 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return near.union(stars)
 
 
+def _printed(docs: DataFrame, size: int, *carried: Column) -> DataFrame:
+    """Per row of ``docs``: doc_id, u (its fingerprint) and the columns ``carried``, staged."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *carried)
+    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema[2:])
+
+    def prints(rows):
+        for doc_id, text, *rest in rows:
+            yield doc_id, fingerprint(text, size), *rest
+
+    return stage(map_rows(rows, f"doc_id long, u long{kinds}", prints), "prints")
+
+
+def _rooted(distinct: DataFrame, bucket: int) -> DataFrame:
+    """``distinct`` (a row per fingerprint u) with the root of each one's component."""
+    roots = stage(components(links(distinct, bucket)), "roots")
+    return distinct.join(roots.withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -170,16 +188,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, bucket: int = BUCKET)
     empty table gives no rows. Equal fingerprints fold before the join, so
     copies cost one row; other columns are ignored.
     """
-    def prints(rows):
-        for doc_id, text in rows:
-            yield doc_id, fingerprint(text, size)
-
-    table = stage(map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id long, u long", prints), "prints")
+    table = _printed(docs, size)
     distinct = stage(table.groupBy("u").agg(F.min("doc_id").alias("least")), "print-classes")
-    roots = stage(components(links(distinct, bucket)), "roots")
-    rooted = distinct.join(roots.withColumnRenamed("node", "u"), "u", "left").withColumn(
-        "root", F.coalesce("root", "u")
-    )
+    rooted = _rooted(distinct, bucket)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = stage(rooted.join(named, "root").select("u", "component_id"), "print-components")
     return table.join(classes, "u").select(
@@ -187,12 +198,23 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, bucket: int = BUCKET)
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one that names it.
+def keep_one(docs: DataFrame, size: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
+    """One document of each component: that of least (doc_id, digest of the text), null ids last.
 
-    Columns are those of ``docs``; rows that repeat a doc_id count once. Of
-    documents without a doc_id none is kept unless no other shares their group.
+    Columns are those of ``docs``. Each component keeps exactly one row, whether
+    its doc_ids are null or stand in other components as well; of rows equal in
+    doc_id and text any one stays. The least of a component folds in the tasks
+    before it is shuffled.
     """
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("__digest")
+    table = _printed(docs, size, digest)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__digest")).alias("least")
+    rooted = _rooted(stage(table.groupBy("u").agg(least), "print-classes"), bucket)
+    kept = (
+        rooted.groupBy("root")
+        .agg(F.min("least").alias("least"))
+        .select(F.col("least.doc_id").alias("__kept"), F.col("least.__digest").alias("__sum"))
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__digest") == F.col("__sum"))
+    found = docs.withColumn("__digest", digest).join(kept, same, "left_semi")
+    return found.dropDuplicates(["doc_id", "__digest"]).drop("__digest")

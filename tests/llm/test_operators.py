@@ -296,6 +296,18 @@ def test_simhash_of_the_table_and_of_odd_rows(spark, docs, empty):
     assert 2 not in {r.doc_id for r in kept.collect()}
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=40)) for _ in range(8)]
+    rows = [(None, t) for t in texts[:5]]  # unique, without an id
+    rows += [(None, texts[5]), (3, texts[5].upper())]  # a copy of a numbered document
+    rows += [(1, texts[6]), (0, texts[6].upper()), (1, texts[7]), (1, texts[7])]  # an id of two texts
+    rows += [(None, texts[0])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    want = [*((None, t) for t in texts[:5]), (3, texts[5].upper()), (0, texts[6].upper()), (1, texts[7])]
+    assert rows_of(kept) == sorted(want, key=str)
+
+
 # repeated bytes -----------------------------------------------------------
 
 
