@@ -1,15 +1,18 @@
 """Toxicity by multiple-instance learning: sentences score, noisy-or combines them.
 
-Only documents have labels. A sentence's probability is logistic in its words;
-a document is toxic unless it is innocent of every sentence (and of a small leak):
-1 - (1 - leak) * product(1 - p). The weights that maximise the likelihood of the
-document labels therefore also say which sentences offend.
+Only documents have labels. A sentence's probability is logistic in its words,
+and zero if none of them has weight; a document is toxic unless it is innocent of
+every sentence (and of a small leak): 1 - (1 - leak) * product(1 - p). The weights
+that maximise the likelihood of the document labels therefore also say which
+sentences offend. A long text scores as its worst ``STRETCH`` sentences in a row:
+slight doubts about very many clean sentences don't add up.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import deque
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -27,6 +30,8 @@ MIN_Z, MIN_DOCS = 4.0, 3
 STEMS = range(4, 9)
 ROUNDS = 24
 THRESHOLD = 0.7
+#: Sentences in a row whose noisy-or is the score; most documents have no more.
+STRETCH = 64
 #: Counts of features that a task holds before it hands them on.
 COUNTED = 150_000
 #: Words of which a worker remembers the weight.
@@ -116,16 +121,14 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, limit: int = S
     def bags(rows):
         place = sent.value
         for text, toxic in rows:
-            found, plain = [], 0
+            found = []
             for sentence in sentences_of(text):
                 ids = {place[f] for w in set(_WORD.findall(sentence)) for f in features_of(w) if f in place}
                 if ids:
                     found.append(sorted(ids))
-                else:
-                    plain += 1
-            yield toxic, plain, found
+            yield toxic, found
 
-    table = stage(map_rows(sample, "toxic int, plain int, bags array<array<int>>", bags), "sentence-bags")
+    table = stage(map_rows(sample, "toxic int, bags array<array<int>>", bags), "sentence-bags")
     start = np.array([math.log((r.toxic + 0.5) / (n1 + 1) / ((r.clean + 0.5) / (n0 + 1))) for r in picked])
     values = np.concatenate([np.clip(start, -2, 4) / 2, [-5.0, -3.0]])  # then the bias and the leak
     pace, before = np.full(len(values), 0.3), np.zeros(len(values))
@@ -145,12 +148,11 @@ def _gradient(table: DataFrame, values: np.ndarray) -> np.ndarray:
 
     def run(rows):
         total = np.zeros(n + 2)
-        for toxic, plain, bags in rows:
+        for toxic, bags in rows:
             logits = np.array([values[ids].sum() for ids in bags]) + values[n]
-            every = np.concatenate([logits, [values[n], values[n + 1]]])
-            times = np.concatenate([np.ones(len(logits)), [plain, 1]])
-            innocent = float(-(times * np.logaddexp(0, every)).sum())  # log of 1 - p
-            pull = times / (1 + np.exp(-every))
+            every = np.append(logits, values[n + 1])
+            innocent = float(-np.logaddexp(0, every).sum())  # log of 1 - p
+            pull = 1 / (1 + np.exp(-every))
             if toxic:
                 pull = pull * -(math.exp(innocent) / max(1e-12, -math.expm1(innocent)))
             for ids, step in zip(bags, pull):
@@ -182,21 +184,34 @@ class Scorer:
         return found
 
     def sentence(self, sentence: str) -> float:
-        """The logit; each word counts once."""
+        """The logit; each word counts once. Without a word of weight it is minus infinity."""
         known, weight = self.known, self.weight
-        words = set(_WORD.findall(sentence))
-        return self.bias + sum(known[w] if w in known else weight(w) for w in words)
+        found = [known[w] if w in known else weight(w) for w in set(_WORD.findall(sentence))]
+        return self.bias + sum(found) if any(found) else -math.inf
 
     def text(self, text: str | None) -> tuple[float, int, int, float]:
         """Score, sentences, and the place (from 0, or -1) and score of the worst sentence."""
-        innocent = _log_innocent(self.leak)
         worst, place, n = -math.inf, -1, 0
+        now = least = 0.0  # logs of 1 - p: of the stretch that ends here, of the worst one
+        held: deque[tuple[int, float]] = deque()
         for n, sentence in enumerate(sentences_of(text), 1):
             logit = self.sentence(sentence)
-            innocent += _log_innocent(logit)
-            if logit > worst:
+            if place < 0 or logit > worst:
                 worst, place = logit, n - 1
-        return -math.expm1(innocent), n, place, 1 / (1 + math.exp(-worst)) if n else 0.0
+            if logit == -math.inf:
+                continue
+            while held and held[0][0] <= n - STRETCH:
+                now -= held.popleft()[1]
+            if not held:
+                now = 0.0
+            held.append((n, _log_innocent(logit)))
+            now += held[-1][1]
+            least = min(least, now)
+        return -math.expm1(_log_innocent(self.leak) + least), n, place, _chance(worst)
+
+
+def _chance(logit: float) -> float:
+    return 1 / (1 + math.exp(-logit)) if logit > -700 else 0.0
 
 
 def _log_innocent(logit: float) -> float:
@@ -231,7 +246,7 @@ def offending(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
         scorer = Scorer(sent.value)
         for doc_id, text in rows:
             for place, sentence in enumerate(sentences_of(text)):
-                p = 1 / (1 + math.exp(-scorer.sentence(sentence)))
+                p = _chance(scorer.sentence(sentence))
                 if p >= least:
                     yield doc_id, place, sentence.strip(), p
 

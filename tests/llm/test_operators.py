@@ -227,6 +227,25 @@ def test_toxicity_finds_sentences_and_survives_odd_rows(spark, docs, empty):
     assert rows_of(toxicity.drop_toxic(docs, labels)) == rows_of(docs)
 
 
+def test_toxicity_does_not_grow_with_length(spark):
+    sf = "/root/testdata/sf0.01"
+    texts, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    scorer = toxicity.Scorer(toxicity.fit(texts, labels))
+    rows = texts.join(labels, "doc_id").filter("text IS NOT NULL").select("toxic", "text").collect()
+    clean = [r.text for r in rows if r.toxic == 0 and scorer.text(r.text)[0] < toxicity.THRESHOLD]
+    long = "\n".join(clean * 5)
+    worst = max((s for r in rows if r.toxic for s in toxicity.sentences_of(r.text)), key=scorer.sentence)
+    assert len(long) > 3_000_000
+    assert scorer.text(long)[0] < toxicity.THRESHOLD
+    assert scorer.text("It rains.\n" * 300_000)[0] < toxicity.THRESHOLD
+    for at in (0, len(clean) // 2, len(clean)):
+        assert scorer.text("\n".join([*clean[:at], worst, *clean[at:]] + clean * 4))[0] >= toxicity.THRESHOLD
+    # a stretch is all of a short text, and the worst window of a long one
+    model = {"weights": {"bad": 0.5}, "bias": -3.0, "leak": -9.0}
+    short, long = (toxicity.Scorer(model).text("bad\n" * n)[0] for n in (toxicity.STRETCH, 50 * toxicity.STRETCH))
+    assert short == pytest.approx(long) and short > toxicity.Scorer(model).text("bad\n" * 10)[0]
+
+
 # SimHash -----------------------------------------------------------
 
 
