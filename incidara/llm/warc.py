@@ -24,6 +24,8 @@ from .common import map_rows, small_batches, text_of
 LEAST_REVISIT = 1000
 #: Bytes of pages that an archive is meant to hold; one page may exceed it.
 ARCHIVE_BYTES = 8 * 1024 * 1024
+#: Bytes that a record is taken to have beside its page.
+RECORD_BYTES = 600
 #: Captures that one range of the merged index is meant to hold.
 RANGE_ROWS = 50_000
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -97,23 +99,26 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     """Write one WARC record per row of ``pages`` to gzip archives under ``path``.
 
     The capture time is the column ``date`` where there is one, else page_id
-    seconds after 2020-01-01 (null: that day). Rows are dealt by a hash into
-    archives of about ``archive_bytes``, so no archive grows with the table.
+    seconds after 2020-01-01 (null: that day). Rows are dealt in turn, not by a
+    key, into archives of about ``archive_bytes``, and an archive of small records
+    ends at its number of records, so none grows with the table or with a row
+    that repeats.
     """
     spark = pages.sparkSession
     rows = decide(pages).withColumn(
         "date", F.timestamp_seconds(F.lit(1_577_836_800) + F.coalesce("page_id", F.lit(0)))
     )
-    total = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 600)).first()[0] or 0
+    total = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + RECORD_BYTES)).first()[0] or 0
     archives = int(-(-total // archive_bytes)) or 1
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         (
-            rows.repartition(archives, F.xxhash64("page_id", "digest"))
+            rows.repartition(archives)
             .select(_records().alias("value"))
             .write.option("lineSep", _END)
             .option("compression", "gzip")
+            .option("maxRecordsPerFile", max(1, archive_bytes // RECORD_BYTES))
             .text(path)
         )
     finally:

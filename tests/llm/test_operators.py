@@ -533,6 +533,18 @@ def test_archives_round_trip_odd_pages(spark):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_are_bounded_whatever_repeats(spark):
+    small, big = (None, "http://a.example.org/", "<p>again</p>"), (9, "http://b.example.org/", "y" * 3000)
+    rows = [small] * 200 + [big] * 60 + [(i, None, f"page {i}") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3, "page_id")
+    got = warc.archive_round_trip(pages, archive_bytes=12_000).collect()
+    assert collections.Counter(r.page_id for r in got) == collections.Counter(page for page, _, _ in rows)
+    held, sizes = collections.Counter(r.archive for r in got), collections.Counter()
+    for r in got:
+        sizes[r.archive] += r.length
+    assert max(held.values()) <= 20 and max(sizes.values()) <= 3 * 12_000
+
+
 # all -----------------------------------------------------------
 
 
