@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,9 +22,15 @@ ROUNDS = 40
 
 # Titles by gender, and given names by script and gender.
 TITLES = {
-    "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Don"],
-    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña"],
-    "n": ["Dr", "Prof"],
+    "m": [
+        "Mr", "Herr", "Monsieur", "Señor", "Sr", "Don",
+        "г-н", "Г-н", "господин", "Господин", "κ", "κος", "Κος", "κύριος", "Κύριος",
+    ],
+    "f": [
+        "Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña",
+        "г-жа", "Г-жа", "госпожа", "Госпожа", "κα", "Κα", "κυρία", "Κυρία",
+    ],
+    "n": ["Dr", "Prof", "д-р", "Д-р", "доктор", "Доктор", "проф", "Проф", "профессор", "Профессор", "δρ", "Δρ", "καθ", "Καθ"],
 }
 GIVEN = {
     ("latin", "m"): ["Adam", "Boris", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon"],
@@ -62,8 +69,16 @@ _FIND = re.compile(
     r"|(?<![\w+])(?P<phone>\+\d{8,15}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])"
     rf"|\b(?P<title>{_TITLES})\b\.?[ \u00a0](?P<name>{_NAME}(?:[ \u00a0]{_NAME}){{0,2}})"
 )
-#: What every text with an entity has; decided by Spark, before Python sees a row.
-HINT = rf"(?i)[@\d]|{'|'.join(SECRET_WORDS)}|(?-i:\b(?:{_TITLES})\b)"
+#: A capitalised word (ASCII ones by their first letter, others are looked at), parts joined by hyphens or apostrophes.
+_CAPITAL = re.compile(r"[^\W\d_a-z](?<!\w.)[^\W\d_]*(?:[-'’][^\W\d_]+)*(?!\w)")
+_PART = re.compile(r"[^\W\d_]+")
+_POSSESSIVE = re.compile(r"['’][sS]$")
+#: What every text with an entity has; decided by Spark, before Python sees a row. Digits and edges of words are
+#: those of Python's Unicode classes, which Java's short forms are not.
+HINT = (
+    rf"(?i)[@\p{{Nd}}]|{'|'.join(SECRET_WORDS)}"
+    rf"|(?-i:(?<![\p{{L}}\p{{N}}_])(?:{_TITLES})(?![\p{{L}}\p{{N}}_]))"
+)
 
 
 def _script(word: str) -> str:
@@ -75,13 +90,14 @@ def _script(word: str) -> str:
     return "latin"
 
 
-def find(text: str | None) -> Iterator[tuple[int, int, str, str]]:
-    """(first, end, type, canonical form) of each entity, in order, without overlaps.
+def _ascii(value: str) -> str:
+    """Decimal digits of any script as 0-9."""
+    return value if value.isascii() else "".join(str(unicodedata.decimal(c, c)) for c in value)
 
-    A person's given and family names are entities of their own, so a later
-    mention of the family name alone is the same entity.
-    """
-    for m in _FIND.finditer(text or ""):
+
+def _titled(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """The entities that their form or a title before them shows."""
+    for m in _FIND.finditer(text):
         kind = m.lastgroup
         if kind == "name":
             words = [w for w in re.finditer(_NAME, m["name"])]
@@ -92,10 +108,11 @@ def find(text: str | None) -> Iterator[tuple[int, int, str, str]]:
                 capital.append(w)
             for i, w in enumerate(capital):
                 first = m.start("name") + w.start()
-                script = _script(w[0])
+                word = _POSSESSIVE.sub("", w[0])
+                script = _script(word)
                 given = len(capital) > 1 and i < len(capital) - 1
                 role = f"given-{_TITLE[m['title']]}-{script}" if given else f"family-{script}"
-                yield first, first + len(w[0]), role, w[0].casefold()
+                yield first, first + len(word), role, word.casefold()
             continue
         value = m[kind]
         if kind == "ip":
@@ -104,7 +121,7 @@ def find(text: str | None) -> Iterator[tuple[int, int, str, str]]:
                 continue
             value = ".".join(str(int(o)) for o in octets)
         elif kind in ("phone", "card", "ssn"):
-            value = re.sub(r"\D", "", value)
+            value = _ascii(re.sub(r"\D", "", value))
         elif kind == "iban":
             value = value.replace(" ", "")
         elif kind == "email":
@@ -112,6 +129,61 @@ def find(text: str | None) -> Iterator[tuple[int, int, str, str]]:
         yield m.start(kind), m.end(kind), kind, value
 
 
+def _parts(word: str) -> int:
+    return len(_PART.findall(word))
+
+
+def _again(text: str, first: int, end: int, names: dict[str, str], sizes: list[int]) -> Iterator[tuple[int, int, str, str]]:
+    """Further mentions in ``text[first:end]`` of ``names`` (kind by canonical form): whole capitalised words, or parts
+    of such joined by hyphens or apostrophes."""
+    for m in _CAPITAL.finditer(text, first, end):
+        word = m[0].casefold()
+        if word in names:
+            if m[0][0].isupper():
+                yield m.start(), m.end(), names[word], word
+            continue
+        parts = list(_PART.finditer(m[0]))
+        i = 0
+        while len(parts) > 1 and i < len(parts):
+            for n in sizes:
+                if i + n <= len(parts):
+                    at, stop = parts[i].start(), parts[i + n - 1].end()
+                    word = m[0][at:stop].casefold()
+                    if word in names and m[0][at].isupper():
+                        yield m.start() + at, m.start() + stop, names[word], word
+                        i += n - 1
+                        break
+            i += 1
+
+
+def find(text: str | None) -> Iterator[tuple[int, int, str, str]]:
+    """(first, end, type, canonical form) of each entity, in order, without overlaps.
+
+    A person's given and family names are entities of their own. Where a text
+    names a person with a title once, each other mention of either name in that
+    text, as a whole capitalised word before or after, is the same entity (that
+    of the last titled mention before it, if several persons share the word).
+    """
+    text = text or ""
+    found = list(_titled(text))
+    names: dict[str, str] = {}
+    for _, _, kind, value in found:
+        if "-" in kind:
+            names.setdefault(value, kind)
+    if not names:
+        yield from found
+        return
+    sizes = sorted({_parts(name) for name in names}, reverse=True)
+    at = 0
+    for entity in found:
+        yield from _again(text, at, entity[0], names, sizes)
+        yield entity
+        at = entity[1]
+        if "-" in entity[2]:
+            names[entity[3]] = entity[2]
+    yield from _again(text, at, len(text), names, sizes)
+
+
 class _Draw:
     """Numbers that the key, the entity and the attempt decide."""
 
@@ -196,6 +268,10 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
 
 def _in_format(kind: str, shown: str, new: str) -> str:
     """The surrogate's canonical form as the entity was written."""
+    if kind in ("ip", "phone", "card", "ssn") and not shown.isascii():
+        one = next((c for c in shown if c.isdecimal() and not c.isascii()), "0")
+        zero = ord(one) - unicodedata.decimal(one)
+        new = "".join(chr(zero + int(c)) if c.isdigit() else c for c in new)
     if kind in ("phone", "card", "ssn", "iban"):
         left = iter(new)
         return "".join(next(left) if c.isalnum() else c for c in shown)

@@ -200,6 +200,36 @@ def test_surrogates_never_meet(spark):
     assert len(new) == 40 and not new & {r.value for r in found} and max(r.attempt for r in found) > 0
 
 
+def test_later_mentions_without_a_title_are_the_same_person(spark):
+    rows = [
+        (1, "Meyer was late. Mrs. Anna Meyer met Tom. Meyer paid; Anna's bag, MEYER-Haus, meyer, Meyerson and Meyer2 stay."),
+        (2, "Mr. O'Neil-Smith's car. O'Neil-Smith drove."),
+        (3, "Meyer has no title here."),
+        (4, "Пришла госпожа Анна Петрова. Петрова ушла."),
+        (5, "Ήρθε η κυρία Ελένη Παππά. Η Παππά έφυγε."),
+        (6, "Call ٠٣٠ ١٢٣٤ ٥٦٧٨ now."),
+        (7, "x" + ", Mrs. Anna Meyer" * 2000 + ", Meyer" * 2000),
+    ]
+    out = {r.doc_id: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    family = re.search(r"Mrs\. (\w+) (\w+) met", out[1].text)
+    given, family = family[1], family[2]
+    assert {given, family}.isdisjoint({"Anna", "Meyer"})
+    assert out[1].text == (
+        f"{family} was late. Mrs. {given} {family} met Tom. {family} paid; {given}'s bag, {family.upper()}-Haus, "
+        "meyer, Meyerson and Meyer2 stay."
+    )
+    assert out[1]["__found"] == 6 and out[1]["__kinds"] == "family,given"
+    name = re.fullmatch(r"Mr\. (.+)'s car\. (.+) drove\.", out[2].text)
+    assert name[1] == name[2] and "Neil" not in out[2].text
+    assert out[3].text == rows[2][1]
+    for doc, old in ((4, ("Анна", "Петрова")), (5, ("Ελένη", "Παππά"))):
+        assert not any(word in out[doc].text for word in old)
+        words = re.findall(r"\w+", out[doc].text)
+        assert words[3 + (doc == 5)] in words[4 + (doc == 5) :] and words[2 + (doc == 5)] in pii.GIVEN[("cyrillic", "greek")[doc - 4], "f"]
+    assert re.fullmatch(r"Call [٠-٩]{3} [٠-٩]{4} [٠-٩]{4} now\.", out[6].text) and out[6].text != rows[5][1]
+    assert out[7]["__found"] == 6000 and "Meyer" not in out[7].text
+
+
 # toxicity -----------------------------------------------------------
 
 
