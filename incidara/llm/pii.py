@@ -19,6 +19,8 @@ from .common import map_rows
 
 #: Rounds of redrawing; each leaves a small part of the one before.
 ROUNDS = 40
+#: Attempts within an entity's own format; later ones draw from ever wider formats.
+NARROW = 3
 
 # Titles by gender, and given names by script and gender.
 TITLES = {
@@ -115,6 +117,8 @@ def _titled(text: str) -> Iterator[tuple[int, int, str, str]]:
                 yield first, first + len(word), role, word.casefold()
             continue
         value = m[kind]
+        if kind == "secret" and not any(c.isalnum() for c in value):
+            continue  # a ruled line
         if kind == "ip":
             octets = value.split(".")
             if any(int(o) > 255 for o in octets):
@@ -231,31 +235,47 @@ def _like(draw: _Draw, value: str) -> str:
 
 
 def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
-    """The ``attempt``-th surrogate of an entity, in canonical form."""
+    """The ``attempt``-th surrogate of an entity, in canonical form.
+
+    From attempt ``NARROW`` on the format is wider, and wider still with later
+    ones, so that no format runs full: more digits in an email's host; for
+    private addresses 10.x.y.z, then 240.0.0.0/4, which nobody holds, for public
+    ones that too; any digits for a phone or ssn, then more of them; for names
+    more syllables; for secrets, cards and ibans more characters in the end.
+    """
     draw = _Draw(key, kind, value, attempt)
+    wide = max(0, attempt - NARROW + 1)  # 0: the entity's own format
     if kind == "email":
         local, _, domain = value.rpartition("@")
-        return f"{_like(draw, local)}@mail{draw.below(1000)}.example.{domain.rpartition('.')[2]}"
+        return f"{_like(draw, local)}@mail{draw.below(1000 * 10**min(wide, 9))}.example.{domain.rpartition('.')[2]}"
     if kind == "ip":
         private = value.startswith(("10.", "192.168.", "127."))
+        if wide > 3 or wide and value.startswith("10."):
+            return ".".join([str(240 + draw.below(15)), *(str(draw.below(256)) for _ in range(3))])
+        if wide and private:
+            return ".".join(["10", *(str(draw.below(256)) for _ in range(3))])
         head = value.split(".")[: 2 if value.startswith("192.") else 1] if private else [str(1 + draw.below(223))]
         return ".".join([*head, *(str(draw.below(256)) for _ in range(4 - len(head)))])
     if kind == "phone":
         country, rest = value[:-10], value[-10:]
+        if wide:
+            return country + draw.digits(len(rest) + wide // 4)
         if len(value) < 10:
             return draw.digits(len(value), "23456789")
         middle = "555" if rest[3:6] == "555" else draw.digits(3, "23456789")
         return country + draw.digits(3, "23456789") + middle + draw.digits(4)
     if kind == "card":
-        body = value[0] + draw.digits(len(value) - 2)
+        body = value[0] + draw.digits(len(value) - 2 + wide // 4)
         check = (10 - _luhn(body + "0")) % 10
         return body + str(check if _luhn(value) == 0 else (check + 1 + draw.below(9)) % 10)
     if kind == "ssn":
+        if wide:
+            return draw.digits(9 + wide // 4)
         return "9" + draw.digits(8)  # numbers from 900 are never given out
     if kind == "iban":
-        return value[:2] + _like(draw, value[2:])
+        return value[:2] + _like(draw, value[2:] + "0" * (wide // 4))
     if kind == "secret":
-        return _like(draw, value)
+        return _like(draw, value + "a0" * (wide // 4))
     role, *gender, script = kind.split("-")
     if role == "given":
         names = GIVEN[script, gender[0]]
@@ -273,8 +293,8 @@ def _in_format(kind: str, shown: str, new: str) -> str:
         zero = ord(one) - unicodedata.decimal(one)
         new = "".join(chr(zero + int(c)) if c.isdigit() else c for c in new)
     if kind in ("phone", "card", "ssn", "iban"):
-        left = iter(new)
-        return "".join(next(left) if c.isalnum() else c for c in shown)
+        left = iter(new)  # of a widened format some remain
+        return "".join([*(next(left) if c.isalnum() else c for c in shown), *left])
     if kind.startswith(("given", "family")):
         if shown.isupper() and len(shown) > 1:
             return new.upper()
@@ -297,7 +317,8 @@ def surrogates(entities: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFra
 
     A surrogate that another entity holds, or that is itself an entity of the
     table, is drawn again; of those that meet, the one that has held it longest
-    stays. Raises if a kind has more entities than surrogates of its format.
+    stays. Formats widen with the attempts, so none runs full (see ``surrogate``);
+    raises if some meet even so after ``rounds``.
     """
     table = stage(_drawn(entities.select("kind", "value").distinct().withColumn("attempt", F.lit(0)), key), "surrogates")
     real = table.select("kind", F.col("value").alias("surrogate"))
@@ -315,7 +336,7 @@ def surrogates(entities: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFra
         redrawn = _drawn(marked.filter("again").withColumn("attempt", F.col("attempt") + 1), key)
         table = stage(marked.filter("again IS NULL").select(table.columns).union(redrawn), "surrogates")
         real = table.select("kind", F.col("value").alias("surrogate"))
-    raise ValueError(f"surrogates still meet after {rounds} rounds: a format has too few values")
+    raise ValueError(f"surrogates still meet after {rounds} rounds")
 
 
 def replace(docs: DataFrame, key: bytes) -> DataFrame:

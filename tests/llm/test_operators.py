@@ -230,6 +230,23 @@ def test_later_mentions_without_a_title_are_the_same_person(spark):
     assert out[7]["__found"] == 6000 and "Meyer" not in out[7].text
 
 
+def test_a_full_format_widens(spark):
+    # more than half of 192.168.x.y: no distinct surrogates that are not real are left in it
+    rows = [("ip", f"192.168.{i // 256}.{i % 256}") for i in range(40_000)] + [("secret", f"{i:02d}") for i in range(95)]
+    rows += [("email", f"a@firm{i}.com") for i in range(3000)] + [("secret", "------------------a")]
+    found = pii.surrogates(spark.createDataFrame(rows, "kind string, value string"), b"k").collect()
+    new = {(r.kind, r.surrogate) for r in found}
+    assert len(found) == len(new) == len(rows) and not new & {(r.kind, r.value) for r in found}
+    assert all(r.surrogate.startswith(("192.168.", "10.", "24", "25")) for r in found if r.kind == "ip")
+    assert {k for _, _, k, _ in pii.find("key = ----------------------")} == set()
+    assert pii._in_format("ssn", "123-45-6789", "9876543210") == "987-65-43210"
+    # from any attempt on, what a surrogate is written as is found again as one of its kind
+    for kind, value in (("ip", "192.168.1.2"), ("ip", "10.0.0.1"), ("ip", "8.8.8.8"), ("email", "a@b.com")):
+        for attempt in range(40):
+            new = pii.surrogate(kind, value, attempt, b"k")
+            assert [(k, v) for _, _, k, v in pii.find(new)] == [(kind, new)]
+
+
 # toxicity -----------------------------------------------------------
 
 
