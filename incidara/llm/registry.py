@@ -6,7 +6,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, kdshards, lines, neighbours, pii, repeats, simhash, toxicity, warc
+from . import (
+    bpe,
+    decontaminate,
+    kdshards,
+    lines,
+    neighbours,
+    phrases,
+    pii,
+    repeats,
+    secretscan,
+    simhash,
+    spelling,
+    toxicity,
+    warc,
+)
 from .common import read
 
 
@@ -64,6 +78,18 @@ def op10_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read(spark, sf_dir, "documents"))
+
+
+def op12_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.audit(read(spark, sf_dir, "documents"))
+
+
+def op13_partenum_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +103,9 @@ QUERIES = {
         op8_line_run_dedup,
         op9_kd_tree_shards,
         op10_warc_index_merge,
+        op11_trie_collocations,
+        op12_trigram_secret_scan,
+        op13_partenum_spellings,
     )
 }
 
@@ -84,6 +113,40 @@ _WORDS = """regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
+def _secrets() -> str:
+    """Spans by the pieces between matches; the rules are the operator's, read by DuckDB."""
+    found = []
+    for number, rule in enumerate(secretscan.RULES):
+        pattern = rule.pattern.replace("'", "''").replace("(?<![A-Za-z0-9_-])", "")
+        if rule.any_case:
+            pattern = "(?i)" + pattern
+        if rule.kind == "hex":  # the same runs, found without stopping at the short ones
+            pattern = f"{pattern[:-1]}{{{rule.least},}}"
+        found.append(f"""
+    SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind, {rule.kind in secretscan.BASE} AS base, {rule.least} AS least,
+        string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}', 0) AS found,
+        regexp_extract_all(text, '{pattern}', {rule.group}) AS judged FROM d""")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(found)}),
+e AS (
+    SELECT doc_id, rule, kind, base, least, i, length(found[i]) AS size, length(judged[i]) AS judged,
+        sum(length(gaps[i]) + length(found[i])) OVER (PARTITION BY doc_id, rule ORDER BY i) AS stop
+    FROM m, unnest(range(1, len(found) + 1)) AS t(i)),
+s AS (
+    SELECT doc_id, kind, base, rule, stop - size AS start, concat(kind, ':', CAST(stop - size AS VARCHAR), ':', CAST(stop AS VARCHAR)) AS span
+    FROM e WHERE judged >= least),
+g AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, rule) FILTER (base) AS of_base,
+        string_agg(span, ',' ORDER BY start, rule) AS spans
+    FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(of_base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 ORACLE = {
     "op1_block_matrix_neighbours": """
 WITH v AS (
@@ -156,5 +219,68 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN kept <> page_id THEN kept END AS refers_to
 FROM p LEFT JOIN k USING (payload_digest)
+""",
+    "op11_trie_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM w, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+    FROM c, unnest(range(1, len(w))) AS t(cut)
+    JOIN f AS l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(w[1:cut], ' ')
+    JOIN f AS r ON r.lang = c.lang AND r.k = len(w) - cut AND r.phrase = array_to_string(w[cut + 1:len(w)], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+around AS (
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS a FROM c, unnest([1, 2]) AS t(i) WHERE k = 3 GROUP BY ALL)
+SELECT * FROM (
+    SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, best.a DESC, best.phrase) AS rank,
+        best.phrase, best.a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM best JOIN totals USING (lang) LEFT JOIN around ON around.lang = best.lang AND around.phrase = best.phrase
+    WHERE around.a IS NULL OR 100 * around.a < 50 * best.a)
+WHERE rank <= 2000
+""",
+    "op12_trigram_secret_scan": _secrets(),
+    "op13_partenum_spellings": r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda v: list_reduce(list_concat([v], range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents),
+seen AS (SELECT run, hex(encode(id || ':' || run)) AS h, count(*) AS n FROM runs GROUP BY id, run),
+hashed AS (
+    SELECT run, n, xor(list_reduce(
+        list_concat([4294967295], list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+    FROM seen, crc),
+w AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+          FROM hashed)
+    GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM w, unnest(range(1, length(word) + 1)) AS t(i)),
+pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest WHERE a.word <> b.word
+    UNION SELECT less.word, w.word, w.n FROM less JOIN w ON w.word = less.rest
+    UNION SELECT w.word, less.word, less.n FROM less JOIN w ON w.word = less.rest),
+best AS (
+    SELECT word, count(*) AS n_near, max(near_n) AS most, first(near ORDER BY near_n DESC, near) AS near FROM pairs GROUP BY word),
+forms AS (
+    SELECT w.word, CASE WHEN most >= 2 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN most >= 2 * n THEN most END AS form_n
+    FROM w LEFT JOIN best USING (word)),
+chain AS (
+    SELECT word, word AS at FROM forms
+    UNION SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, chain.at AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN chain USING (word) JOIN forms AS last ON last.word = chain.at AND last.form IS NULL
 """,
 }
