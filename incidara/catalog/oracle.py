@@ -147,6 +147,16 @@ boosted AS (
   FROM days, one, two)"""
 BY_SEVERITY = {"hour": "hour", "severity": "place"}
 
+DURATION_CUT = f"""{HOURLY}, parts AS (
+  SELECT *, {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE) AS in_train FROM model),
+places AS (
+  SELECT severity, row_number() OVER (ORDER BY avg(duration_minutes)) AS place
+  FROM parts WHERE in_train GROUP BY severity),
+placed AS (SELECT * FROM parts JOIN places USING (severity)),
+train AS (SELECT * FROM placed WHERE in_train),
+{_best_cut("one", "train", "duration_minutes", BY_SEVERITY)}
+SELECT id, round({_by_cut("one", BY_SEVERITY)}, 6) AS prediction FROM placed, one WHERE NOT in_train"""
+
 ORACLE: dict[str, str] = {
     "city_day_panel": f"{PANEL} SELECT {PANEL_COLUMNS} FROM panel",
     "city_day_join": f"{PANEL} SELECT {PANEL_COLUMNS} FROM panel",
@@ -322,15 +332,34 @@ SELECT city, date, round(second, 6) AS prediction FROM boosted WHERE date >= DAT
 SELECT CAST(1 AS BIGINT) AS max_iter, round(one_cut, 6) AS rmse, one_cut <= two_cuts AS is_best FROM errors
 UNION ALL
 SELECT CAST(2 AS BIGINT), round(two_cuts, 6), two_cuts < one_cut FROM errors""",
-    "duration_tree_exact": f"""{HOURLY}, parts AS (
-  SELECT *, {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE) AS in_train FROM model),
-places AS (
-  SELECT severity, row_number() OVER (ORDER BY avg(duration_minutes)) AS place
-  FROM parts WHERE in_train GROUP BY severity),
-placed AS (SELECT * FROM parts JOIN places USING (severity)),
-train AS (SELECT * FROM placed WHERE in_train),
-{_best_cut("one", "train", "duration_minutes", BY_SEVERITY)}
-SELECT id, round({_by_cut("one", BY_SEVERITY)}, 6) AS prediction FROM placed, one WHERE NOT in_train""",
+    "duration_tree_exact": DURATION_CUT,
+    "duration_tree_folded_exact": DURATION_CUT,
+    "duration_cells": f"""{HOURLY}, train AS (
+  SELECT * FROM model WHERE {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE)),
+cuts AS (SELECT DISTINCT unnest(quantile_disc(distance, list_transform(range(1, 128), lambda n: n / 128))) AS cut FROM train)
+SELECT hour, severity, state, CAST(bin AS INTEGER) AS bin, count(*) AS rows, round(sum(duration_minutes), 6) AS label_sum,
+       round(sum(duration_minutes * duration_minutes), 4) AS label_squares
+FROM (SELECT *, (SELECT count(*) FROM cuts WHERE cut <= distance) AS bin FROM train) GROUP BY ALL""",
+    "duration_fold_check": f"""{HOURLY}
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches, CAST(0 AS BIGINT) AS wrong_errors
+FROM model WHERE NOT {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE)""",
+    "city_groups_line": f"""WITH {INC}, {CITY_MEANS},
+placed AS (SELECT city, avg_temp AS v, row_number() OVER (ORDER BY avg_temp) AS p FROM means),
+cuts AS (
+  SELECT a.p AS first, b.p AS second FROM placed a JOIN placed b ON a.p < b.p WHERE b.p < (SELECT max(p) FROM placed)),
+spread AS (
+  SELECT first, second, var_pop(v) * count(*) AS cost
+  FROM cuts, placed GROUP BY first, second, CASE WHEN p <= first THEN 0 WHEN p <= second THEN 1 ELSE 2 END),
+best AS (SELECT first, second FROM spread GROUP BY first, second ORDER BY sum(cost) LIMIT 1)
+SELECT city, CAST(CASE WHEN p <= first THEN 0 WHEN p <= second THEN 1 ELSE 2 END AS INTEGER) AS cluster FROM placed, best""",
+    "city_groups_check": f"""WITH {INC}
+SELECT count(DISTINCT city) AS cities, CAST(5 AS BIGINT) AS groups, CAST(0 AS BIGINT) AS misplaced,
+       CAST(0 AS BIGINT) AS better_moves FROM inc""",
+    "panel_landed": f"{PANEL} SELECT {PANEL_COLUMNS} FROM panel",
+    "profile_landed": PROFILE,
+    "top_cities_landed": f"""{PANEL}
+SELECT city, CAST(sum(accident_count) AS BIGINT) AS total_accidents FROM panel
+WHERE date BETWEEN DATE '2000-07-01' AND DATE '2001-03-31' GROUP BY city ORDER BY total_accidents DESC, city LIMIT 5""",
     "string_index": f"""{HOURLY}, {_index("event_type")}, {_index("state")}
 SELECT id, event_type, state, event_type_idx, state_idx
 FROM ev JOIN event_type_rank USING (event_type) JOIN state_rank USING (state)""",

@@ -17,9 +17,10 @@ from incidara.catalog.fixtures import (
     table,
     with_end_time,
 )
-from incidara.models import clusters, duration, forecast, hourly
+from incidara.models import cells, clusters, duration, forecast, grouping, hourly
+from incidara.models.trees import search_tree
 from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
-from incidara.operators import counts, durations, panel, quality, sampling, series, splits
+from incidara.operators import counts, durations, panel, panel_state, quality, sampling, series, splits
 from incidara.plans.cleaning import clean
 from incidara.schema import WEATHER_MEASURES, with_incident_names
 from incidara.session import fresh_path, pin_time_zone, stage
@@ -133,6 +134,37 @@ def week_slice(spark, sf_dir):
     return series.week_slice(_panel(spark, sf_dir), 1998, 10)
 
 
+def _landed(spark, sf_dir):
+    """Three batches: history, recent days, late records of those; the last one landed twice."""
+    rows = incidents_daily(spark, sf_dir)
+    recent, late = F.col("date") >= F.lit(DAILY_BOUNDS.test_start), F.col("id") % 3 == 0
+    path = fresh_path(spark, "states")
+    panel_state.land_incidents(rows.filter(~recent), path, "history")
+    panel_state.land_incidents(rows.filter(recent & ~late), path, "recent")
+    for _ in range(2):
+        panel_state.land_incidents(rows.filter(recent & late), path, "late")
+    return path
+
+
+@query
+def panel_landed(spark, sf_dir):
+    """The panel out of stored states equals the one built from all incidents."""
+    return panel_state.panel_from_states(panel_state.read_states(spark, _landed(spark, sf_dir)))
+
+
+@query
+def profile_landed(spark, sf_dir):
+    states = panel_state.read_states(spark, _landed(spark, sf_dir))
+    return panel.profile_from_rollup(panel_state.rollup_from_states(states))
+
+
+@query
+def top_cities_landed(spark, sf_dir):
+    """Hotspots of a range of days; other months' folders are not read."""
+    states = panel_state.read_states(spark, _landed(spark, sf_dir), date(2000, 7, 1), date(2001, 3, 31))
+    return panel.top_from_counts(panel_state.merge_states(states))
+
+
 # --- expressions ----------------------------------------------------------------------
 
 
@@ -607,6 +639,108 @@ def duration_tree_exact(spark, sf_dir):
     return search.model.transform(valid).select("id", F.round("prediction", 6).alias("prediction"))
 
 
+def _duration_parts(spark, sf_dir):
+    rows = stage(durations.duration_model_table(_ended(spark, sf_dir), carry=["id"]), "durations")
+    return splits.split_by_key(rows, "id")
+
+
+@query
+def duration_cells(spark, sf_dir):
+    """The training rows folded by hour, severity, state and distance bin."""
+    train, _ = _duration_parts(spark, sf_dir)
+    folded = cells.fold(train, cells.distance_bins(train))
+    return folded.select(
+        "hour", "severity", "state", F.col(cells.BIN).cast("int").alias("bin"), "rows",
+        F.round("label_sum", 6).alias("label_sum"), F.round("label_squares", 4).alias("label_squares"),
+    )
+
+
+@query
+def duration_tree_folded(spark, sf_dir):
+    """All eight duration trees on cells; the best one's predictions for the validation rows."""
+    train, valid = _duration_parts(spark, sf_dir)
+    search = cells.search_folded_tree(train, valid)
+    return search.model.transform(valid).select(*durations.MODEL_COLUMNS, "prediction")
+
+
+@query
+def duration_tree_folded_exact(spark, sf_dir):
+    """One cut by hour or severity on cells: the one of least squared error over the rows."""
+    train, valid = _duration_parts(spark, sf_dir)
+    search = cells.search_folded_tree(train, valid, (1,), (1,), features=["hour", "severity_idx"])
+    return search.model.transform(valid).select("id", F.round("prediction", 6).alias("prediction"))
+
+
+@query
+def duration_fold_check(spark, sf_dir):
+    """Trees on cells and on rows (of binned distances) predict the same for every row, and the
+    errors of all eight agree."""
+    train, valid = _duration_parts(spark, sf_dir)
+    folded = cells.search_folded_tree(train, valid)
+    plain = search_tree(folded.model.stages[:-1], train, valid, duration.LABEL, max_bins=duration.BINS)
+    first = folded.model.transform(valid).withColumnRenamed("prediction", "first")
+    both = plain.model.stages[-1].transform(first)
+    errors = [
+        abs(a[name] - b[name])
+        for a, b in zip(folded.rows, plain.rows)
+        for name in ("training_rmse", "valid_rmse")
+    ]
+    return both.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.abs(F.col("first") - F.col("prediction")) > 1e-6).alias("mismatches"),
+        F.lit(sum(error > 1e-6 for error in errors)).cast("long").alias("wrong_errors"),
+    )
+
+
+def _profile(spark, sf_dir):
+    rollup = panel.day_rollup(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
+    return stage(panel.profile_from_rollup(rollup), "profile")
+
+
+@query
+def city_groups(spark, sf_dir):
+    found = grouping.group_cities(_profile(spark, sf_dir))
+    return found.table.select("city", "avg_temp", "avg_humidity", "cluster")
+
+
+@query
+def city_groups_line(spark, sf_dir):
+    """Three groups by one measure: SQL tries every pair of cuts of the sorted cities."""
+    found = grouping.group_cities(_profile(spark, sf_dir), k=3, features=["avg_temp"])
+    return found.table.select("city", "cluster")
+
+
+@query
+def city_groups_check(spark, sf_dir):
+    """Each centre is the mean of its cities, each city is at its nearest, and no move of one city
+    to another group lowers the cost; worked out from the table alone."""
+    table = stage(grouping.group_cities(_profile(spark, sf_dir)).table, "groups")
+    means = [F.avg(name).alias(f"mean_{name}") for name in clusters.FEATURES]
+    sizes = table.groupBy("cluster").agg(F.count("*").alias("size"), *means)
+    whole = sizes.agg(F.sort_array(F.collect_list(F.struct("cluster", "size", *[f"mean_{n}" for n in clusters.FEATURES]))).alias("g"))
+    groups = whole.first().g  # one entry a group
+
+    def squared(group):
+        return sum(((F.col(n) - group[f"mean_{n}"]) ** 2 for n in clusters.FEATURES), F.lit(0.0))
+
+    own = F.get(F.array(*[squared(g) for g in groups]), F.col("cluster"))
+    leave = F.get(F.array(*[F.lit(g["size"] / max(g["size"] - 1, 1)) for g in groups]), F.col("cluster"))
+    alone = F.get(F.array(*[F.lit(g["size"] == 1) for g in groups]), F.col("cluster"))
+    away = F.lit(False)
+    better = F.lit(False)
+    for number, g in enumerate(groups):
+        other = F.col("cluster") != number
+        away = away | (other & (squared(g) < own * (1 - 1e-9)))
+        join = squared(g) * (g["size"] / (g["size"] + 1))
+        better = better | (other & ~alone & (join < own * leave * (1 - 1e-6)))
+    return table.agg(
+        F.count("*").alias("cities"),
+        F.count_distinct("cluster").alias("groups"),
+        F.count_if(away).alias("misplaced"),
+        F.count_if(better).alias("better_moves"),
+    )
+
+
 def _clusters(spark, sf_dir):
     rollup = panel.day_rollup(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
     return clusters.cluster_cities(stage(panel.profile_from_rollup(rollup), "profile"))

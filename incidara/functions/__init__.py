@@ -10,9 +10,11 @@ from incidara.functions.calendar import (
 from incidara.functions.numbers import (
     exact_sum,
     from_log,
+    halves_sum,
     log_target,
     mean_from,
     rounded_count,
+    sum_halves,
 )
 from incidara.functions.parsing import parse_double, parse_int, parse_timestamp
 
@@ -21,6 +23,7 @@ __all__ = [
     "duration_minutes",
     "exact_sum",
     "from_log",
+    "halves_sum",
     "iso_week_dates",
     "log_target",
     "mean_from",
@@ -28,6 +31,7 @@ __all__ = [
     "parse_int",
     "parse_timestamp",
     "rounded_count",
+    "sum_halves",
     "weekend_flag",
     "with_calendar",
 ]

@@ -34,13 +34,20 @@ def exact_sum(value: str, scale: int | None) -> Column:
     group's total becomes a decimal, which later sums cannot overflow. NaN has
     no whole number and raises under ANSI; drop or impute it first.
     """
-    column = F.col(value)
     if scale is None:
-        return F.sum(column.cast("double"))
-    units = F.rint(column * F.lit(10.0**scale)).cast("bigint")
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
-    total = high * F.lit(Decimal(2**LOW_BITS)) + low
+        return F.sum(F.col(value).cast("double"))
+    return halves_sum(*sum_halves(value, scale), scale)
+
+
+def sum_halves(value: str, scale: int) -> tuple[Column, Column]:
+    """The sums of the high and of the low bits, as aggregates; both may be added up further."""
+    units = F.rint(F.col(value) * F.lit(10.0**scale)).cast("bigint")
+    return F.sum(F.shiftright(units, LOW_BITS)), F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1)))
+
+
+def halves_sum(high: Column, low: Column, scale: int) -> Column:
+    """The sum that two halves stand for."""
+    total = high.cast("decimal(20,0)") * F.lit(Decimal(2**LOW_BITS)) + low.cast("decimal(20,0)")
     return (total * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
 
 

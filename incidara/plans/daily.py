@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from incidara.models.clusters import cluster_cities, cluster_profile
+from incidara.models.clusters import cluster_profile
 from incidara.models.forecast import (
     DEPTHS,
     FEATURES,
@@ -20,6 +20,7 @@ from incidara.models.forecast import (
     search_forecast,
     search_log,
 )
+from incidara.models.grouping import group_cities
 from incidara.models.metrics import PARALLEL_FITS, rmse, tuning_table
 from incidara.operators.panel import (
     CITY,
@@ -69,9 +70,9 @@ def daily_forecast(
     write_table(top_from_counts(rollup, TOP_HOTSPOTS, keys), f"{out}/top_cities")
     if groups:
         profile = stage(profile_from_rollup(rollup, keys), "profile")
-        clusters = cluster_cities(profile, keys)
-        write_table(clusters.table, f"{out}/city_clusters")
-        write_table(cluster_profile(clusters.table), f"{out}/cluster_profile")
+        groups_found = group_cities(profile, keys)
+        write_table(groups_found.table, f"{out}/city_clusters")
+        write_table(cluster_profile(groups_found.table), f"{out}/cluster_profile")
 
     table = stage(feature_table(panel_from_rollup(rollup, keys), keys), "features")
     write_table(split_series(table, bounds, keys), f"{out}/split_series")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from incidara.models.duration import search_duration_tree
+from incidara.models.cells import search_folded_tree
 from incidara.models.metrics import PARALLEL_FITS, tuning_table
 from incidara.models.trees import TreeSearch
 from incidara.operators.durations import (
@@ -31,15 +31,15 @@ def duration_prediction(
 ) -> TreeSearch:
     """Run on an all-string scan and write under ``out``.
 
-    The model table is narrow; it is staged so that the fits do not parse
-    the strings again. The split is by a hash of the id, so that a re-run
+    The model table is narrow; it is staged so that the strings are parsed
+    once. All trees are fitted on its cells (``models.cells``). The split is by a hash of the id, so that a re-run
     task cannot move a row between training and validation.
     """
     spark = raw.sparkSession
     rows = parsed_strings(drop_nulls(raw, None if any_null_drop else USED))
     table = stage(duration_model_table(rows, carry=["id"]), "durations")
     train, valid = split_by_key(table, "id")
-    search = search_duration_tree(train, valid, parallelism=parallelism, storage=storage)
+    search = search_folded_tree(train, valid, parallelism=parallelism, storage=storage)
     write_table(tuning_table(spark, search.rows), f"{out}/tuning")
     scored = search.model.transform(valid)
     write_result_csv(mean_duration_by_hour(scored), f"{out}/mean_duration_by_hour", ["hour"])
