@@ -171,9 +171,10 @@ def _texts(docs: DataFrame) -> DataFrame:
 def trigram_index(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
     """Posting lists: trigram, digest of a text that holds it in lower case; sorted by both
     within the files, so that a reader of one list skips the rest."""
-    low = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in sorted(trigrams)]))
-    listed = _texts(docs).select("digest", F.explode(held).alias("trigram")).distinct()
+    # As a row of its own, so that the lower-case text is made once and not for each trigram.
+    low = _texts(docs).select("digest", F.explode(F.array(F.lower("text"))).alias("low"))
+    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in sorted(trigrams)]))
+    listed = low.select("digest", F.explode(held).alias("trigram")).distinct()
     return stage(listed.sortWithinPartitions("trigram", "digest"), "trigram-index")
 
 
