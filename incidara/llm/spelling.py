@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 from itertools import combinations
 
 import xxhash
@@ -34,7 +35,7 @@ DISTANCE = 2
 #: One in so many places loses a letter (``noise``).
 NOISE_EVERY = 97
 #: Different words that a task counts before it hands them on.
-HELD = 1 << 18
+HELD = 1 << 19
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")  # [a-z and U+00C0 to U+00FF] in UTF-8
@@ -48,17 +49,16 @@ def word_counts(docs: DataFrame, noise_every: int = NOISE_EVERY) -> DataFrame:
     """
 
     def count(rows):
-        held: Counter = Counter()
+        held: dict[bytes, int] = {}
         for doc_id, text in rows:
             prefix = zlib.crc32(b":" if doc_id is None else b"%s:" % doc_id.encode())
             for run, n in Counter(_RUN.findall(text.encode().translate(_FOLD))).items():
                 h = zlib.crc32(run, prefix)
-                if h % noise_every:
-                    held[run] += n
-                else:
+                if h % noise_every == 0:
                     letters = run.decode()
                     at = h % len(letters)
-                    held[(letters[:at] + letters[at + 1 :]).encode()] += n
+                    run = (letters[:at] + letters[at + 1 :]).encode()
+                held[run] = held.get(run, 0) + n
             if len(held) > HELD:
                 yield from ((run.decode(), n) for run, n in held.items())
                 held.clear()
@@ -71,21 +71,24 @@ def word_counts(docs: DataFrame, noise_every: int = NOISE_EVERY) -> DataFrame:
 _MASK = (1 << 64) - 1
 
 
+@lru_cache(maxsize=1 << 14)
+def _component(letter: str, number: int) -> int:
+    return xxhash.xxh64_intdigest(f"{letter}{number}")
+
+
 def signatures(word: str, partitions: int = PARTITIONS, distance: int = DISTANCE) -> list[int]:
     """A hash of the word's vector within each choice of all partitions but ``distance``.
 
     A set is hashed by the sum of its components' hashes; equal hashes of
     different sets only make a pair that the check throws out.
     """
-    sums, seen = [0] * partitions, Counter()
+    sums, seen = [0] * partitions, {}
     for letter in word:
-        seen[letter] += 1
-        h = xxhash.xxh64_intdigest(f"{letter}{seen[letter]}")
+        seen[letter] = number = seen.get(letter, 0) + 1
+        h = _component(letter, number)
         sums[h % partitions] += h
-    return [
-        xxhash.xxh64_intdigest(b"%d" % number, sum(sums[p] for p in kept) & _MASK)
-        for number, kept in enumerate(combinations(range(partitions), partitions - distance))
-    ]
+    chosen = combinations(sums, partitions - distance)
+    return [(sum(kept) + number) * 0x9E3779B97F4A7C15 & _MASK for number, kept in enumerate(chosen)]
 
 
 def _keyed(words: DataFrame, partitions: int) -> DataFrame:
@@ -99,7 +102,7 @@ def _keyed(words: DataFrame, partitions: int) -> DataFrame:
                 for side in ("<" + word[:half], ">" + word[len(word) - half :]):
                     seed = xxhash.xxh64_intdigest(f"{shorter}{side}")
                     for signature in signed:
-                        key = xxhash.xxh64_intdigest(signature.to_bytes(8, "little"), seed)
+                        key = signature ^ seed
                         yield key - (key >> 63 << 64), shorter, word, n
 
     return map_rows(words.select("word", "n"), "key long, shorter int, word string, n long", keys)
