@@ -145,6 +145,26 @@ boosted AS (
   SELECT city, date, y, {_by_cut("one", CALENDAR)} AS first,
          {_by_cut("one", CALENDAR)} + CAST(0.1 AS DOUBLE) * ({_by_cut("two", CALENDAR)}) AS second
   FROM days, one, two)"""
+FOLD_SPANS = [("2000-01-01", "2000-07-02"), ("2000-07-02", "2001-01-01")]
+FOLD_SIZES = " UNION ALL ".join(
+    f"SELECT CAST({n} AS INTEGER) AS fold, DATE '{start}' AS valid_start, count(*) FILTER (date < DATE '{start}') AS train_rows, "
+    f"count(*) FILTER (date >= DATE '{start}' AND date < DATE '{end}') AS valid_rows, "
+    f"max(date) FILTER (date < DATE '{start}') AS last_train_day FROM lagged"
+    for n, (start, end) in enumerate(FOLD_SPANS)
+)
+FOLD_NAIVE = " UNION ALL ".join(
+    f"SELECT CAST({n} AS INTEGER) AS fold, round(sqrt(avg(pow(ln(1 + accident_count) - ln(1 + lag_1), 2))), 6) AS rmse "
+    f"FROM lagged WHERE date >= DATE '{start}' AND date < DATE '{end}'"
+    for n, (start, end) in enumerate(FOLD_SPANS)
+)
+FOLD_GRID = f"""{LAGGED}, days AS (SELECT city, date, ln(1 + accident_count) AS y FROM lagged)""" + "".join(
+    f""", train{n} AS (SELECT * FROM days WHERE date < DATE '{start}'),{_best_cut(f"cut{n}", f"train{n}", "y", CALENDAR)}"""
+    for n, (start, _) in enumerate(FOLD_SPANS)
+) + " " + " UNION ALL ".join(
+    f"""SELECT CAST({n} AS INTEGER) AS fold, round(sqrt(avg(pow(y - {_by_cut(f"cut{n}", CALENDAR)}, 2))), 6) AS rmse
+FROM days, cut{n} WHERE date >= DATE '{start}' AND date < DATE '{end}'"""
+    for n, (start, end) in enumerate(FOLD_SPANS)
+)
 BY_SEVERITY = {"hour": "hour", "severity": "place"}
 
 DURATION_CUT = f"""{HOURLY}, parts AS (
@@ -333,6 +353,9 @@ SELECT CAST(1 AS BIGINT) AS max_iter, round(one_cut, 6) AS rmse, one_cut <= two_
 UNION ALL
 SELECT CAST(2 AS BIGINT), round(two_cuts, 6), two_cuts < one_cut FROM errors""",
     "duration_tree_exact": DURATION_CUT,
+    "fold_sizes": f"{LAGGED} {FOLD_SIZES}",
+    "fold_errors_naive": f"{LAGGED} {FOLD_NAIVE}",
+    "fold_grid_exact": FOLD_GRID,
     "duration_tree_folded_exact": DURATION_CUT,
     "duration_cells": f"""{HOURLY}, train AS (
   SELECT * FROM model WHERE {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE)),

@@ -17,7 +17,7 @@ from incidara.catalog.fixtures import (
     table,
     with_end_time,
 )
-from incidara.models import cells, clusters, duration, forecast, grouping, hourly
+from incidara.models import cells, clusters, duration, folds, forecast, grouping, hourly
 from incidara.models.trees import search_tree
 from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
 from incidara.operators import counts, durations, panel, panel_state, quality, sampling, series, splits
@@ -549,6 +549,33 @@ def gbt_grid(spark, sf_dir):
     return tuning_rows(spark, search.rows)
 
 
+# Two spans of half a year with the validation year's origin.
+FOLDS = folds.rolling_folds(DAILY_BOUNDS.valid_start, 183, 2)
+
+
+@query
+def fold_sizes(spark, sf_dir):
+    return folds.fold_sizes(_lagged(spark, sf_dir), FOLDS)
+
+
+@query
+def fold_errors_naive(spark, sf_dir):
+    scored = _lagged(spark, sf_dir).select(
+        "date", fn.log_target("accident_count").alias("actual"), fn.log_target("lag_1").alias("naive")
+    )
+    return folds.fold_errors(scored, FOLDS, "actual", "naive").withColumn("rmse", F.round("rmse", 6))
+
+
+@query
+def fold_grid_exact(spark, sf_dir):
+    """One cut by weekday or month, found anew from each fold's training days."""
+    features = stage(forecast.feature_table(_panel(spark, sf_dir)), "features")
+    search = folds.cross_validate(features, FOLDS, (1,), (1,), (STEP,), CALENDAR)
+    return tuning_rows(spark, search.fold_rows).select(
+        F.col("fold").cast("int").alias("fold"), F.round("rmse", 6).alias("rmse")
+    )
+
+
 @query
 def gbt_importance(spark, sf_dir):
     train, _, _ = _forecast_parts(spark, sf_dir)
