@@ -353,6 +353,30 @@ SELECT CAST(1 AS BIGINT) AS max_iter, round(one_cut, 6) AS rmse, one_cut <= two_
 UNION ALL
 SELECT CAST(2 AS BIGINT), round(two_cuts, 6), two_cuts < one_cut FROM errors""",
     "duration_tree_exact": DURATION_CUT,
+    "severity_tree_exact": f"""{HOURLY}, parts AS (
+  SELECT id, hours, severity, {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE) AS in_train FROM ev),
+cuts AS (SELECT DISTINCT hours AS cut FROM parts WHERE in_train AND hours < (SELECT max(hours) FROM parts WHERE in_train)),
+sides AS (
+  SELECT cut, hours > cut AS side, severity, count(*) AS n FROM cuts, parts WHERE in_train GROUP BY ALL),
+scores AS (
+  SELECT cut, sum(purity) AS purity FROM (
+    SELECT cut, side, sum(CAST(n AS DOUBLE) * n) / sum(n) AS purity FROM sides GROUP BY cut, side) GROUP BY cut),
+best AS (SELECT cut FROM scores ORDER BY purity DESC, cut LIMIT 1),
+leaves AS (
+  SELECT side, first(severity ORDER BY n DESC) AS predicted, round(max(n) / sum(n), 6) AS share
+  FROM sides WHERE cut = (SELECT cut FROM best) GROUP BY side)
+SELECT id, predicted, share FROM parts, best, leaves WHERE NOT in_train AND side = (hours > best.cut)""",
+    "severity_confusion": f"""{HOURLY}
+SELECT severity AS actual, CAST(1 + hours % 4 AS VARCHAR) AS predicted, count(*) AS rows FROM ev GROUP BY ALL""",
+    "severity_measures": f"""{HOURLY}, s AS (SELECT severity AS actual, CAST(1 + hours % 4 AS VARCHAR) AS predicted FROM ev),
+classes AS (SELECT actual AS class FROM s UNION SELECT predicted FROM s),
+c AS (
+  SELECT class, count(*) FILTER (actual = class) AS rows, count(*) FILTER (predicted = class) AS said,
+         count(*) FILTER (actual = class AND predicted = class) AS hits
+  FROM classes, s GROUP BY class)
+SELECT class, rows, round(hits / nullif(said, 0), 9) AS precision, round(hits / nullif(rows, 0), 9) AS recall,
+       CASE WHEN said > 0 AND rows > 0 THEN round(2 * hits / (rows + said), 9) END AS f1
+FROM c""",
     "fold_sizes": f"{LAGGED} {FOLD_SIZES}",
     "fold_errors_naive": f"{LAGGED} {FOLD_NAIVE}",
     "fold_grid_exact": FOLD_GRID,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from incidara import functions as fn
@@ -17,7 +18,7 @@ from incidara.catalog.fixtures import (
     table,
     with_end_time,
 )
-from incidara.models import cells, clusters, duration, folds, forecast, grouping, hourly
+from incidara.models import cells, clusters, duration, folds, forecast, grouping, hourly, severity
 from incidara.models.trees import search_tree
 from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
 from incidara.operators import counts, durations, panel, panel_state, quality, sampling, series, splits
@@ -719,6 +720,47 @@ def duration_fold_check(spark, sf_dir):
     )
 
 
+def _severity_rows(spark, sf_dir):
+    rows = incidents_hourly(spark, sf_dir).withColumn("hour", F.hour("start_time"))
+    return stage(rows.select("id", "hour", "severity", "state", "distance"), "severities")
+
+
+def _severity_parts(spark, sf_dir):
+    return splits.split_by_key(_severity_rows(spark, sf_dir), "id")
+
+
+@query
+def severity_tree(spark, sf_dir):
+    train, valid = _severity_parts(spark, sf_dir)
+    return severity.fit_severity(train).transform(valid).select("id", "severity", "predicted")
+
+
+@query
+def severity_tree_exact(spark, sf_dir):
+    """One cut by hour: the one of least Gini impurity; each side says its most frequent class."""
+    train, valid = _severity_parts(spark, sf_dir)
+    scored = severity.fit_severity(train, 1, ["hour"], []).transform(valid)
+    share = F.array_max(vector_to_array("probability"))
+    return scored.select("id", "predicted", F.round(share, 6).alias("share"))
+
+
+def _next_severity(spark, sf_dir):
+    """A naive predictor: the class whose number follows from the hour."""
+    rows = _severity_rows(spark, sf_dir)
+    return rows.withColumn("predicted", (1 + F.col("hour") % 4).cast("string"))
+
+
+@query
+def severity_confusion(spark, sf_dir):
+    return severity.confusion(_next_severity(spark, sf_dir))
+
+
+@query
+def severity_measures(spark, sf_dir):
+    found = severity.class_measures(severity.confusion(_next_severity(spark, sf_dir)))
+    return found.withColumns({name: F.round(name, 9) for name in ("precision", "recall", "f1")})
+
+
 def _profile(spark, sf_dir):
     rollup = panel.day_rollup(incidents_daily(spark, sf_dir), exact_scale=EXACT_SCALE)
     return stage(panel.profile_from_rollup(rollup), "profile")
