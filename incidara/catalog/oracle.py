@@ -165,6 +165,26 @@ FOLD_GRID = f"""{LAGGED}, days AS (SELECT city, date, ln(1 + accident_count) AS
 FROM days, cut{n} WHERE date >= DATE '{start}' AND date < DATE '{end}'"""
     for n, (start, end) in enumerate(FOLD_SPANS)
 )
+
+
+def _map_cells(level: int) -> str:
+    """CTE ``cells``: level, cell, n of every level, cells by their bits taken in turn."""
+    return f"""
+places AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 50.0::DOUBLE + (event_id % 100) / 1024.0::DOUBLE
+              ELSE (event_id * 7919) % 2880 / 16.0::DOUBLE - 90 END AS lat,
+         CASE WHEN event_id % 3 = 0 THEN 10.0::DOUBLE + (event_id % 77) / 1024.0::DOUBLE
+              ELSE (event_id * 104729) % 5760 / 16.0::DOUBLE - 180 END AS lon FROM events),
+steps AS (
+  SELECT CAST(l AS INTEGER) AS level, least(pow(2, l) - 1, floor((lon + 180) / 360 * pow(2, l)))::BIGINT AS x,
+         least(pow(2, l) - 1, floor((lat + 90) / 180 * pow(2, l)))::BIGINT AS y
+  FROM places, unnest(range(0, {level + 1})) AS t(l)),
+cells AS (
+  SELECT level, CAST(coalesce(list_sum(list_transform(range(0, level), lambda b:
+           ((x >> b) & 1) * pow(4, b)::BIGINT + ((y >> b) & 1) * 2 * pow(4, b)::BIGINT)), 0) AS BIGINT) AS cell, count(*) AS n
+  FROM steps GROUP BY ALL)"""
+
+
 BY_SEVERITY = {"hour": "hour", "severity": "place"}
 
 DURATION_CUT = f"""{HOURLY}, parts AS (
@@ -353,6 +373,10 @@ SELECT CAST(1 AS BIGINT) AS max_iter, round(one_cut, 6) AS rmse, one_cut <= two_
 UNION ALL
 SELECT CAST(2 AS BIGINT), round(two_cuts, 6), two_cuts < one_cut FROM errors""",
     "duration_tree_exact": DURATION_CUT,
+    "map_cell_counts": f"WITH {_map_cells(8)} SELECT level, cell, n FROM cells",
+    "map_cells_split": f"""WITH {_map_cells(14)}
+SELECT c.level, c.cell, c.n FROM cells c LEFT JOIN cells p ON p.level = c.level - 1 AND p.cell = c.cell // 4
+WHERE (c.n <= 100 OR c.level = 14) AND (c.level = 0 OR p.n > 100)""",
     "severity_tree_exact": f"""{HOURLY}, parts AS (
   SELECT id, hours, severity, {HASH_SHARE.format(key="id")} < CAST(0.8 AS DOUBLE) AS in_train FROM ev),
 cuts AS (SELECT DISTINCT hours AS cut FROM parts WHERE in_train AND hours < (SELECT max(hours) FROM parts WHERE in_train)),

@@ -21,7 +21,7 @@ from incidara.catalog.fixtures import (
 from incidara.models import cells, clusters, duration, folds, forecast, grouping, hourly, severity
 from incidara.models.trees import search_tree
 from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
-from incidara.operators import counts, durations, panel, panel_state, quality, sampling, series, splits
+from incidara.operators import counts, durations, map_cells, panel, panel_state, quality, sampling, series, splits
 from incidara.plans.cleaning import clean
 from incidara.schema import WEATHER_MEASURES, with_incident_names
 from incidara.session import fresh_path, pin_time_zone, stage
@@ -303,6 +303,25 @@ def severity_levels(spark, sf_dir):
     return counts.severity_levels(counts.hour_severity_counts(_hourly(spark, sf_dir)))
 
 
+def _places(spark, sf_dir):
+    """The test tables hold no coordinates: these follow from the ids, a third in one small area."""
+    number = F.col("id")
+    lat = F.when(number % 3 == 0, 50.0 + number % 100 / 1024).otherwise((number * 7919) % 2880 / 16 - 90.0)
+    lon = F.when(number % 3 == 0, 10.0 + number % 77 / 1024).otherwise((number * 104729) % 5760 / 16 - 180.0)
+    return incidents_hourly(spark, sf_dir).select("id", lat.alias("latitude"), lon.alias("longitude"))
+
+
+@query
+def map_cell_counts(spark, sf_dir):
+    return map_cells.cell_counts(_places(spark, sf_dir), "latitude", "longitude", 8)
+
+
+@query
+def map_cells_split(spark, sf_dir):
+    found = stage(map_cells.cell_counts(_places(spark, sf_dir), "latitude", "longitude", 14), "cells")
+    return map_cells.split_heavy_cells(found, 100)
+
+
 # --- durations ------------------------------------------------------------------------
 
 
