@@ -373,6 +373,12 @@ SELECT CAST(1 AS BIGINT) AS max_iter, round(one_cut, 6) AS rmse, one_cut <= two_
 UNION ALL
 SELECT CAST(2 AS BIGINT), round(two_cuts, 6), two_cuts < one_cut FROM errors""",
     "duration_tree_exact": DURATION_CUT,
+    "cluster_profile_file": f"""WITH {INC}, m AS (SELECT severity AS cluster, {_mean("temperature_f", "temp")}, {_mean("humidity_pct", "humidity")},
+  {_mean("severity", "sever")}, {_mean("visibility_mi", "visibility")}, {_mean("precipitation_in", "precip")} FROM inc GROUP BY severity)
+SELECT cluster, round(temp, 6) AS temp, round(humidity, 6) AS humidity, round(sever, 6) AS sever, round(visibility, 6) AS visibility,
+       round(precip, 6) AS precip FROM m WHERE cluster = 2""",
+    "importances_file": f"WITH {INC_NULLS} "
+    + " UNION ALL ".join(f"SELECT '{name}' AS feature, count({name}) / CAST(4 AS DOUBLE) AS importance FROM inc" for name in NULLABLE),
     "map_cell_counts": f"WITH {_map_cells(8)} SELECT level, cell, n FROM cells",
     "map_cells_split": f"""WITH {_map_cells(14)}
 SELECT c.level, c.cell, c.n FROM cells c LEFT JOIN cells p ON p.level = c.level - 1 AND p.cell = c.cell // 4

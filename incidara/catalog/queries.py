@@ -27,7 +27,10 @@ from incidara.schema import WEATHER_MEASURES, with_incident_names
 from incidara.session import fresh_path, pin_time_zone, stage
 from incidara.sinks import land_by_year, save_pipeline, write_csv, write_result_csv
 from incidara.sources import (
+    cluster_by_id,
     load_pipeline,
+    read_cluster_profile,
+    read_importances,
     read_inferred,
     read_landed,
     read_strings,
@@ -477,6 +480,28 @@ def hour_result_csv(spark, sf_dir):
     return read_typed(spark, path, hours.schema)
 
 
+@query
+def cluster_profile_file(spark, sf_dir):
+    """Means by severity under the published header, written, read back, one group looked up."""
+    weather = {"Temperature (F)": "temperature_f", "Humidity (%)": "humidity_pct", "Severity": "severity"}
+    weather |= {"Visibility (mi)": "visibility_mi", "Precipitation (in)": "precipitation_in"}
+    groups = incidents_daily(spark, sf_dir).groupBy(F.col("severity").alias("Cluster")).agg(
+        *[F.round(fn.mean_from(fn.exact_sum(c, EXACT_SCALE), F.count(c)), 6).alias(f"Mean {n}") for n, c in weather.items()]
+    )
+    path = fresh_path(spark, "profile-csv")
+    write_csv(groups, path)
+    return cluster_by_id(read_cluster_profile(spark, path), 2).toDF("cluster", "temp", "humidity", "sever", "visibility", "precip")
+
+
+@query
+def importances_file(spark, sf_dir):
+    """A table of shares under the published header, written and read back."""
+    profile = quality.nonnull_profile(incidents_daily(spark, sf_dir, nulls=True))
+    path = fresh_path(spark, "importances-csv")
+    write_csv(profile.select(F.col("column_name").alias("Feature"), (F.col("non_null") / 4).alias("Importance")), path)
+    return read_importances(spark, path).toDF("feature", "importance")
+
+
 # --- features and naive errors --------------------------------------------------------
 
 
