@@ -104,10 +104,10 @@ def test_artifacts(spark, tmp_path):
     profile = tmp_path / "profile.csv"
     profile.write_text(
         "Cluster,Mean Temperature (F),Mean Humidity (%),Mean Severity,Mean Visibility (mi),Mean Precipitation (in)\n"
-        "0,58.5,85.3,2.2,8.2,0.01\n1,72.1,36.6,2.1,9.9,0.0\n"
+        "0,40.5,61.0,1.5,7.5,0.02\n1,66.0,48.0,3.0,9.0,0.0\n"
     )
     table = read_cluster_profile(spark, str(profile))
-    assert [tuple(r) for r in cluster_by_id(table, 1).collect()] == [(1, 72.1, 36.6, 2.1, 9.9, 0.0)]
+    assert [tuple(r) for r in cluster_by_id(table, 1).collect()] == [(1, 66.0, 48.0, 3.0, 9.0, 0.0)]
     scores = tmp_path / "scores.csv"
     scores.write_text("Feature,Importance\nlag_1,0.25\nsever,0.75\n")
     assert [tuple(r) for r in read_importances(spark, str(scores)).collect()] == [("lag_1", 0.25), ("sever", 0.75)]
