@@ -17,7 +17,7 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import fresh_path
+from ..session import fresh_path, stage
 from .common import map_rows, small_batches, text_of
 
 #: Payloads below this are never replaced by a revisit record.
@@ -26,22 +26,28 @@ LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 8 * 1024 * 1024
 #: Bytes that a record is taken to have beside its page.
 RECORD_BYTES = 600
+#: Hash buckets that tell payloads without copies; at most so many rows are broadcast.
+COPY_BUCKETS = 1 << 18
 #: Captures that one range of the merged index is meant to hold.
 RANGE_ROWS = 50_000
+#: Capture time of a page without a date: its page_id in seconds after 2020-01-01.
+FIRST_SECOND = 1_577_836_800
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = "\r\n\r\n"
 
 
 def decide(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """``pages`` (page_id, url, html) with payload, digest and refers_to.
+    """``pages`` (page_id, url, html, date if there) with date, payload, digest and refers_to.
 
     Of rows with equal payloads of at least ``least`` bytes the one of largest
     page_id is kept whole; the others refer to it. Rows repeating that page_id
     are kept whole as well; rows without an id refer to it like the others.
     """
-    rows = pages.select(F.col("page_id").cast("long"), "url", text_of("html").alias("payload")).withColumn(
-        "digest", F.sha1(F.encode("payload", "UTF-8"))
-    )
+    second = F.timestamp_seconds(F.lit(FIRST_SECOND) + F.coalesce(F.col("page_id").cast("long"), F.lit(0)))
+    given = [F.col("date").try_cast("timestamp")] if "date" in pages.columns else []
+    rows = pages.select(
+        F.col("page_id").cast("long"), "url", F.coalesce(*given, second).alias("date"), text_of("html").alias("payload")
+    ).withColumn("digest", F.sha1(F.encode("payload", "UTF-8")))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long"))
     copies = (
         rows.filter(F.col("bytes") >= least)
@@ -50,8 +56,16 @@ def decide(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .filter("n > 1")
         .select("digest", "kept")
     )
-    joined = rows.join(copies, "digest", "left")
-    return joined.withColumn("refers_to", F.when(~F.col("kept").eqNullSafe(F.col("page_id")), F.col("kept"))).drop("kept")
+    copies = stage(copies, "copied-payloads")
+    # a payload whose bucket no copied one shares needs no join, so it isn't shuffled for one
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(COPY_BUCKETS)).cast("int")
+    buckets = F.broadcast(copies.select(bucket.alias("bucket")).distinct())
+    dealt = rows.withColumn("bucket", bucket)
+    single = dealt.join(buckets, "bucket", "left_anti").withColumn("kept", F.lit(None).cast("long"))
+    copied = dealt.join(buckets, "bucket", "left_semi").join(copies, "digest", "left")
+    joined = single.unionByName(copied)
+    refers = F.when(~F.col("kept").eqNullSafe(F.col("page_id")), F.col("kept"))
+    return joined.withColumn("refers_to", refers).drop("kept", "bucket")
 
 
 def _line(text: Column) -> Column:
@@ -98,24 +112,22 @@ def _records() -> Column:
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write one WARC record per row of ``pages`` to gzip archives under ``path``.
 
-    The capture time is the column ``date`` where there is one, else page_id
-    seconds after 2020-01-01 (null: that day). Rows are dealt in turn, not by a
+    The capture time is the column ``date`` where there is one and it is a time,
+    else page_id seconds after 2020-01-01 (null: that day). Rows are dealt in turn, not by a
     key, into archives of about ``archive_bytes``, and an archive of small records
     ends at its number of records, so none grows with the table or with a row
-    that repeats.
+    that repeats. Records are made before they are dealt: a revisit moves without its page.
     """
     spark = pages.sparkSession
-    rows = decide(pages).withColumn(
-        "date", F.timestamp_seconds(F.lit(1_577_836_800) + F.coalesce("page_id", F.lit(0)))
-    )
+    rows = decide(pages)
     total = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + RECORD_BYTES)).first()[0] or 0
     archives = int(-(-total // archive_bytes)) or 1
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         (
-            rows.repartition(archives)
-            .select(_records().alias("value"))
+            rows.select(_records().alias("value"))
+            .repartition(archives)
             .write.option("lineSep", _END)
             .option("compression", "gzip")
             .option("maxRecordsPerFile", max(1, archive_bytes // RECORD_BYTES))
@@ -296,7 +308,8 @@ def archive_round_trip(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, ran
     spark = pages.sparkSession
     path = fresh_path(spark, "archives")
     write_archives(pages, path, archive_bytes)
-    index = merge_runs(read_archives(spark, path), range_rows)
+    # staged: count, range bounds and shuffle would each inflate the archives anew
+    index = merge_runs(stage(read_archives(spark, path), "captures"), range_rows)
     return index.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
         "url_key", "stamp", "archive", "offset", "length",
