@@ -209,6 +209,20 @@ SELECT state, date, accident_count, lag_1, lag_7 FROM lagged""",
     "top_cities": f"""WITH {INC}
 SELECT city, count(id) AS total_accidents FROM inc GROUP BY city
 ORDER BY total_accidents DESC, city LIMIT 20""",
+    "top_cities_heavy": f"""WITH {INC}
+SELECT city, count(id) AS total_accidents FROM inc GROUP BY city
+ORDER BY total_accidents DESC, city LIMIT 20""",
+    "top_orders_heavy": f"""WITH {INC}
+SELECT id, CAST(sum(CAST(trunc(temperature_f) AS BIGINT)) AS BIGINT) AS total_quantity FROM inc GROUP BY id
+ORDER BY total_quantity DESC, id LIMIT 25""",
+    "distinct_landed": f"""WITH {INC}, days AS (
+  SELECT * FROM inc WHERE date BETWEEN DATE '2000-07-01' AND DATE '2001-03-31')
+SELECT 'id' AS measure, count(id) AS n_values, count(DISTINCT id) AS exact, TRUE AS within_bounds FROM days
+UNION ALL
+SELECT 'city', count(city), count(DISTINCT city), TRUE FROM days
+UNION ALL
+SELECT 'row', count(*), (SELECT count(*) FROM (SELECT DISTINCT date, city, severity, weather_condition FROM days)), TRUE
+FROM days""",
     "top_cities_test": f"""{LAGGED}
 SELECT city, CAST(sum(accident_count) AS BIGINT) AS total_accidents FROM lagged
 WHERE date >= DATE '2001-01-01' GROUP BY city ORDER BY total_accidents DESC, city LIMIT 5""",

@@ -21,7 +21,19 @@ from incidara.catalog.fixtures import (
 from incidara.models import cells, clusters, duration, folds, forecast, grouping, hourly, severity
 from incidara.models.trees import search_tree
 from incidara.models.metrics import rmse_of, tuning_table as tuning_rows
-from incidara.operators import counts, durations, map_cells, panel, panel_state, quality, sampling, series, splits
+from incidara.operators import (
+    counts,
+    distinct_state,
+    durations,
+    heavy,
+    map_cells,
+    panel,
+    panel_state,
+    quality,
+    sampling,
+    series,
+    splits,
+)
 from incidara.plans.cleaning import clean
 from incidara.schema import WEATHER_MEASURES, with_incident_names
 from incidara.session import fresh_path, pin_time_zone, stage
@@ -169,6 +181,46 @@ def top_cities_landed(spark, sf_dir):
     return panel.top_from_counts(panel_state.merge_states(states))
 
 
+@query
+def top_cities_heavy(spark, sf_dir):
+    """The hotspots without a count of every city: summary, floor, then the cities that can win."""
+    incidents = incidents_daily(spark, sf_dir)
+    return heavy.top_heavy(incidents, panel.CITY, F.col("id").isNotNull().cast("int"), panel.TOP_HOTSPOTS)
+
+
+@query
+def top_orders_heavy(spark, sf_dir):
+    """Orders of largest summed quantity: far more keys than a summary has buckets, and no heavy one."""
+    incidents = incidents_daily(spark, sf_dir)
+    return heavy.top_heavy(incidents, ["id"], F.col("temperature_f"), 25, "total_quantity")
+
+
+@query
+def distinct_landed(spark, sf_dir):
+    """Distinct counts of a range of days from landed sketches, held against the exact ones."""
+    incidents = incidents_daily(spark, sf_dir)
+    measures = {
+        "id": F.col("id"),
+        "city": F.col("city"),
+        "row": distinct_state.row_value(incidents, ["date", "city", "severity", "weather_condition"]),
+    }
+    path = fresh_path(spark, "distinct")
+    for n in (0, 1):
+        batch = incidents.filter(F.pmod("id", F.lit(2)) == n)
+        distinct_state.land_distinct(distinct_state.distinct_states(batch, F.col("date"), measures), path, f"half {n}")
+    days = date(2000, 7, 1), date(2001, 3, 31)
+    united = distinct_state.united(distinct_state.read_distinct(spark, path, *days))
+    inside = incidents.filter(F.col("date").between(*map(F.lit, days)))
+    values = F.array(*[F.struct(F.lit(m).alias("measure"), v.cast("string").alias("value")) for m, v in measures.items()])
+    exact = inside.select(F.inline(values)).groupBy("measure").agg(F.count_distinct("value").alias("exact"))
+    return united.join(exact, "measure").select(
+        "measure",
+        F.col("rows").alias("n_values"),
+        "exact",
+        F.col("exact").between(F.col("at_least"), F.col("at_most")).alias("within_bounds"),
+    )
+
+
 # --- expressions ----------------------------------------------------------------------
 
 
