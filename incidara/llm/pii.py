@@ -60,7 +60,10 @@ SECRET_WORDS = ["token", "secret", "password", "passwd", "api_key", "apikey", "k
 
 _TITLE = {t: g for g, titles in TITLES.items() for t in titles}
 _TITLES = "|".join(sorted(map(re.escape, _TITLE), key=len, reverse=True))
+# Titles that may follow another or end a name; a given name too is left to the name.
+_CHAINED = "|".join(sorted((re.escape(t) for t in _TITLE if t != "Don"), key=len, reverse=True))
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_WORD = rf"(?![a-z]|(?:{_CHAINED})\b){_NAME}"
 _FIND = re.compile(
     r"(?P<email>[\w.%+-]*\w@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+)"
     rf"|(?i:\b(?:{'|'.join(SECRET_WORDS)})\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9+/_-]{{16,}}=*)"
@@ -69,7 +72,8 @@ _FIND = re.compile(
     r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?<![\w-])(?P<card>\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-])"
     r"|(?<![\w+])(?P<phone>\+\d{8,15}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])"
-    rf"|\b(?P<title>{_TITLES})\b\.?[ \u00a0](?P<name>{_NAME}(?:[ \u00a0]{_NAME}){{0,2}})"
+    rf"|\b(?P<title>{_TITLES})\b\.?[ \u00a0](?:(?:{_CHAINED})\b\.?[ \u00a0])*"
+    rf"(?P<name>{_WORD}(?:[ \u00a0]{_WORD}){{0,2}})"
 )
 #: A capitalised word (ASCII ones by their first letter, others are looked at), parts joined by hyphens or apostrophes.
 _CAPITAL = re.compile(r"[^\W\d_a-z](?<!\w.)[^\W\d_]*(?:[-'’][^\W\d_]+)*(?!\w)")
