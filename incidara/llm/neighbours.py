@@ -45,10 +45,13 @@ def nearest(
     The result is exact: a pair is only left out when its upper bound is below
     the k-th lower bound of its query. Candidates are all rows but the query's
     own. Rows whose id is null, or whose vector is null, empty, zero, or holds
-    a null or non-finite component, take no part; rows that repeat an id count
-    once, with their smallest vector; vectors of different length have no
-    product. Fewer than k candidates are all returned; an empty table gives no
-    rows. Other columns are ignored.
+    a null or non-finite component, take no part; rows that share an id all
+    count, as queries too, and a query row repeated has its result repeated;
+    vectors of different length have no product. Fewer than k candidates are
+    all returned; an empty table gives no rows. Other columns are ignored.
+
+    Equal rows fold to one with their number; no query has room for more than
+    k of them beside itself, so k + 1 copies at most become candidates.
     """
     small_batches(vectors.sparkSession)
     clean = (
@@ -58,47 +61,63 @@ def nearest(
             F.coalesce(is_query, F.lit(False)).alias("is_query"),
         )
         .filter(F.col("id").isNotNull() & usable(F.col("v")))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"), F.max("is_query").alias("is_query"))
+        .groupBy("id", "v")
+        .agg(F.count("*").alias("n"), F.count_if("is_query").alias("asked"))
+        # names a row's content where an id is shared: two hashes of 64 bits
+        .withColumn("row", F.concat_ws(":", F.xxhash64(F.lit(1), "id", "v"), F.xxhash64(F.lit(2), "id", "v")))
     )
-    n, n_queries = clean.agg(F.count("*"), F.count_if("is_query")).first()
+    copies = F.least("n", F.lit(k + 1)).cast("int")
+    n, n_queries = clean.agg(F.coalesce(F.sum(copies), F.lit(0)), F.count_if(F.col("asked") > 0)).first()
     cuts = -(-n // block_rows) or 1
     query_cuts = -(-n_queries // block_rows) or 1
 
     def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         return df.select(
             "id",
+            "row",
+            "copy",
+            "asked",
             "v",
             F.size("v").alias("dim"),
-            F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias(own),
+            F.pmod(F.xxhash64("row", "copy"), F.lit(blocks)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
         )
 
     tile = ["dim", "query_block", "block"]
-    queries = dealt(clean.filter("is_query"), "query_block", query_cuts, "block", cuts)
-    candidates = dealt(clean, "block", cuts, "query_block", query_cuts)
+    asked = clean.filter("asked > 0").withColumn("copy", F.lit(1))
+    queries = dealt(asked, "query_block", query_cuts, "block", cuts)
+    all_rows = clean.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    candidates = dealt(all_rows, "block", cuts, "query_block", query_cuts)
 
     def best_of_tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(left) and len(right):
-            rows = _tile(
-                left["id"].to_numpy(), np.stack(left["v"]), right["id"].to_numpy(), np.stack(right["v"]), k
+            content, _ = pd.factorize(pd.concat([left["row"], right["row"]], ignore_index=True))
+            # a query's own row is the first copy of its content
+            own = np.where(right["copy"] == 1, content[len(left) :], -1)
+            found = _tile(
+                content[: len(left)], np.stack(left["v"]), own, right["id"].to_numpy(), np.stack(right["v"]), k
             )
-        return pd.DataFrame(rows, columns=["query_id", "ids", "scores"])
+            rows = [(left["id"][i], left["row"][i], left["asked"][i], ids, scores) for i, ids, scores in found]
+        return pd.DataFrame(rows, columns=["query_id", "row", "asked", "ids", "scores"])
 
     lists = (
         queries.groupBy(*tile)
         .cogroup(candidates.groupBy(*tile))
-        .applyInPandas(best_of_tile, "query_id long, ids array<long>, scores array<double>")
+        .applyInPandas(
+            best_of_tile, "query_id long, row string, asked long, ids array<long>, scores array<double>"
+        )
     )
 
     def merge(rows):
-        for query, group in groupby(rows, key=lambda r: r[0]):
-            ranked = heapq.merge(*(zip((-s for s in r[2]), r[1]) for r in group))
-            for rank, (score, found) in enumerate(islice(ranked, k), 1):
-                yield query, rank, found, -score
-
-    by_query = lists.repartition("query_id").sortWithinPartitions("query_id")
+        for (query, _, asked), group in groupby(rows, key=lambda r: r[:3]):
+            ranked = heapq.merge(*(zip((-s for s in r[4]), r[3]) for r in group))
+            best = list(islice(ranked, k))
+            for _ in range(asked):
+                for rank, (score, found) in enumerate(best, 1):
+                    yield query, rank, found, -score
+
+    by_query = lists.repartition("query_id", "row").sortWithinPartitions("query_id", "row")
     return map_rows(by_query, "query_id long, rank int, vec_id long, score double", merge)
 
 
@@ -112,8 +131,9 @@ def _int8(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return codes, safe, np.linalg.norm(coded, axis=1), np.linalg.norm(m - coded, axis=1)
 
 
-def _tile(query_ids, queries, ids, vectors, k: int) -> list[tuple]:
-    """For each query its k best of the tile, best first."""
+def _tile(query_rows, queries, own_of, ids, vectors, k: int) -> list[tuple]:
+    """For each query that has any, its place and its k best of the tile, best first; a candidate whose
+    ``own_of`` is the query's number is the query itself."""
     q_codes, q_scale, q_norm, q_lost = _int8(queries)
     codes, scale, _, lost = _int8(vectors)
     norm = np.linalg.norm(vectors, axis=1)
@@ -121,14 +141,14 @@ def _tile(query_ids, queries, ids, vectors, k: int) -> list[tuple]:
     wide = np.float32 if queries.shape[1] * 127 * 127 < 2**24 else np.float64
     columns = codes.astype(wide).T
     out = []
-    for at in range(0, len(query_ids), STRIP):
+    for at in range(0, len(query_rows), STRIP):
         part = slice(at, at + STRIP)
         near = (q_codes[part].astype(wide) @ columns).astype(np.float64)
         near *= q_scale[part, None] * scale
         # |q.c - q'.c'| <= |q - q'| |c| + |q'| |c - c'|, and rounding
         error = q_lost[part, None] * norm + q_norm[part, None] * lost
         error += 1e-9 * (q_norm[part, None] + q_lost[part, None]) * norm
-        own = query_ids[part, None] == ids
+        own = query_rows[part, None] == own_of
         low = np.where(own, -np.inf, near - error)
         if low.shape[1] > k:
             floor = np.partition(low, low.shape[1] - k, axis=1)[:, -k]
@@ -142,5 +162,5 @@ def _tile(query_ids, queries, ids, vectors, k: int) -> list[tuple]:
         for i, (a, b) in enumerate(zip(ends, ends[1:])):
             best = heapq.nsmallest(k, zip((-exact[a:b]).tolist(), ids[col[a:b]].tolist()))
             if best:
-                out.append((query_ids[at + i], [c for _, c in best], [-s + 0.0 for s, _ in best]))
+                out.append((at + i, [c for _, c in best], [-s + 0.0 for s, _ in best]))
     return out

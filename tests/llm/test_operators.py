@@ -107,6 +107,22 @@ def test_neighbours_are_exact(spark, block_rows):
     )
 
 
+@pytest.mark.parametrize("block_rows", [3, 4096])
+def test_rows_that_share_an_id_are_all_neighbours(spark, block_rows):
+    rng = np.random.default_rng(2)
+    rows = [(int(rng.integers(0, 6)), [float(x) for x in rng.integers(-2, 3, 2)]) for _ in range(40)]
+    rows += [(3, [1.0, 1.0])] * 30 + [(1, [1.0, 0.0]), (1, [0.5, 0.5])]
+    rows = [r for r in rows if any(r[1])]
+    want = []
+    for i, (q, a) in enumerate(rows):
+        if q % 3 == 0:
+            scored = sorted((-(a[0] * b[0] + a[1] * b[1]), c) for j, (c, b) in enumerate(rows) if i != j)
+            want += [(q, rank, c, -s) for rank, (s, c) in enumerate(scored[:5], 1)]
+    table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, row string")
+    found = neighbours.nearest(table, F.col("vec_id") % 3 == 0, k=5, block_rows=block_rows)
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_neighbours_of_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(table, F.lit(True)).count() == 0
@@ -230,6 +246,22 @@ def test_later_mentions_without_a_title_are_the_same_person(spark):
     assert out[7]["__found"] == 6000 and "Meyer" not in out[7].text
 
 
+def test_titles_that_follow_each_other():
+    def people(text):
+        return [(text[a:b], kind) for a, b, kind, _ in pii.find(text)]
+
+    family = "family-latin"
+    assert people("Mrs Meyer and Mr Rose left") == [("Meyer", family), ("Rose", family)]
+    assert people("Mr. Smith and Mrs. Jones spoke to Dr. Brown") == [("Smith", family), ("Jones", family), ("Brown", family)]
+    assert people("Herr Weber und Frau Klein") == [("Weber", family), ("Klein", family)]
+    assert people("Mr Smith Mrs Jones") == [("Smith", family), ("Jones", family)]
+    assert people("Frau Prof. Dr. Eva Klein kam") == [("Eva", "given-f-latin"), ("Klein", family)]
+    assert people("Prof. Dr. Weber") == [("Weber", family)]
+    assert people("Mr Don Smith, Mr Don") == [("Don", "given-m-latin"), ("Smith", family), ("Don", family)]
+    assert [p for p, _ in people("г-н Иванов и г-жа Петрова")] == ["Иванов", "Петрова"]
+    assert people("Mr smith, Dr. Mrs. and Miss") == []
+
+
 def test_a_full_format_widens(spark):
     # more than half of 192.168.x.y: no distinct surrogates that are not real are left in it
     rows = [("ip", f"192.168.{i // 256}.{i % 256}") for i in range(40_000)] + [("secret", f"{i:02d}") for i in range(95)]
@@ -580,6 +612,14 @@ def test_archives_round_trip_odd_pages(spark):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_keep_the_date_of_a_page(spark):
+    rows = [(1, "2011-05-06 07:08:09"), (2, None), (3, "no date")]
+    pages = spark.createDataFrame([(i, "http://a.example.org/", "x", d) for i, d in rows], "page_id long, url string, html string, date string")
+    got = {r.page_id: r.stamp for r in warc.archive_round_trip(pages).collect()}
+    assert got == {1: "20110506070809", 2: "20200101000002", 3: "20200101000003"}
+    assert [r.stamp for r in warc.archive_round_trip(pages.filter("page_id = 1").withColumn("date", F.to_timestamp("date"))).collect()] == ["20110506070809"]
+
+
 def test_archives_are_bounded_whatever_repeats(spark):
     small, big = (None, "http://a.example.org/", "<p>again</p>"), (9, "http://b.example.org/", "y" * 3000)
     rows = [small] * 200 + [big] * 60 + [(i, None, f"page {i}") for i in range(20)]
