@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import itertools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,6 +39,8 @@ def map_rows(
     arrow = _arrow_schema(spark, schema)
 
     def run(batches):
+        give_back()
+
         def rows():
             for batch in batches:
                 yield from zip(*(c.to_pylist() for c in batch.columns))
@@ -52,6 +58,36 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return to the system what an earlier task left free in a worker that is used again."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
+def beside_helpers(operate: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return the columns of their first argument.
+
+    Their helper columns begin with two underscores; columns of the table that do
+    so too go by other names while ``operate`` builds its result.
+    """
+
+    @functools.wraps(operate)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        used = {c.lower() for c in docs.columns}
+        spare = (n for n in map("aside_{}".format, itertools.count()) if n not in used)
+        aside = {c: next(spare) for c in docs.columns if c.startswith("__")}
+        if not aside:
+            return operate(docs, *args, **kwargs)
+        out = operate(docs.withColumnsRenamed(aside), *args, **kwargs)
+        return out.withColumnsRenamed({new: old for old, new in aside.items()})
+
+    return run
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays(

@@ -1,24 +1,24 @@
 """Toxicity by multiple-instance learning: sentences score, noisy-or combines them.
 
-Only documents have labels. A sentence's probability is logistic in its words,
-and zero if none of them has weight; a document is toxic unless it is innocent of
-every sentence (and of a small leak): 1 - (1 - leak) * product(1 - p). The weights
-that maximise the likelihood of the document labels therefore also say which
-sentences offend. A long text scores as its worst ``STRETCH`` sentences in a row:
-slight doubts about very many clean sentences don't add up.
+Only documents have labels. A document is toxic unless it is innocent of every
+sentence (and of a small leak): 1 - (1 - leak) * product(1 - p). A sentence's p is
+logistic in its words less what any sentence is granted: (q - ``MILD``) / (1 - ``MILD``)
+for a logistic q, zero below. Sentences of one document with the same weighted words
+are one piece of evidence and count once. Fit and score share this over all sentences,
+wherever they stand, so slight doubts about very many clean sentences don't add up. The
+weights that maximise the likelihood of the document labels also say which ones offend.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import deque
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .common import map_rows
+from .common import beside_helpers, map_rows
 
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE_DOCS = 12_000
@@ -30,13 +30,15 @@ MIN_Z, MIN_DOCS = 4.0, 3
 STEMS = range(4, 9)
 ROUNDS = 24
 THRESHOLD = 0.7
-#: Sentences in a row whose noisy-or is the score; most documents have no more.
-STRETCH = 64
+#: Logistic probability up to which a sentence counts as clean: more likely so than not.
+MILD = 0.5
 #: Counts of features that a task holds before it hands them on.
 COUNTED = 150_000
 #: Words of which a worker remembers the weight.
 WORDS_KNOWN = 150_000
 
+_FLOOR, _GRANTED = math.log(MILD / (1 - MILD)), math.log1p(-MILD)
+
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"\w+")
 
@@ -121,16 +123,17 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, limit: int = S
     def bags(rows):
         place = sent.value
         for text, toxic in rows:
-            found = []
+            found = {}
             for sentence in sentences_of(text):
-                ids = {place[f] for w in set(_WORD.findall(sentence)) for f in features_of(w) if f in place}
-                if ids:
-                    found.append(sorted(ids))
-            yield toxic, found
+                ids = {w: [place[f] for f in features_of(w) if f in place] for w in set(_WORD.findall(sentence))}
+                words = frozenset(w for w in ids if ids[w])
+                if words and words not in found:
+                    found[words] = sorted({i for w in words for i in ids[w]})
+            yield toxic, list(found.values())
 
     table = stage(map_rows(sample, "toxic int, bags array<array<int>>", bags), "sentence-bags")
     start = np.array([math.log((r.toxic + 0.5) / (n1 + 1) / ((r.clean + 0.5) / (n0 + 1))) for r in picked])
-    values = np.concatenate([np.clip(start, -2, 4) / 2, [-5.0, -3.0]])  # then the bias and the leak
+    values = np.concatenate([np.clip(start, -2, 4) / 2, [_FLOOR, -3.0]])  # then the bias and the leak
     pace, before = np.full(len(values), 0.3), np.zeros(len(values))
     for _ in range(rounds):
         slope = _gradient(table, values) / (n0 + n1)
@@ -150,11 +153,12 @@ def _gradient(table: DataFrame, values: np.ndarray) -> np.ndarray:
         total = np.zeros(n + 2)
         for toxic, bags in rows:
             logits = np.array([values[ids].sum() for ids in bags]) + values[n]
-            every = np.append(logits, values[n + 1])
-            innocent = float(-np.logaddexp(0, every).sum())  # log of 1 - p
+            bags = [ids for ids, logit in zip(bags, logits) if logit > _FLOOR]
+            every = np.append(logits[logits > _FLOOR], values[n + 1])
+            innocent = float(-np.logaddexp(0, every).sum()) - len(bags) * _GRANTED  # log of 1 - p
             pull = 1 / (1 + np.exp(-every))
             if toxic:
-                pull = pull * -(math.exp(innocent) / max(1e-12, -math.expm1(innocent)))
+                pull = pull * -(math.exp(innocent) / max(1e-12, -math.expm1(min(0.0, innocent))))
             for ids, step in zip(bags, pull):
                 total[ids] += step
             total[n] += pull[:-1].sum()
@@ -183,35 +187,32 @@ class Scorer:
             found = self.known[word] = sum(get(f, 0.0) for f in features_of(word))
         return found
 
-    def sentence(self, sentence: str) -> float:
-        """The logit; each word counts once. Without a word of weight it is minus infinity."""
+    def sentence(self, sentence: str, seen: set[frozenset[str]] | None = None) -> float:
+        """Log of 1 - p; each word counts once. Zero without a word of weight, or if ``seen``
+        holds its weighted words; they are added to it."""
         known, weight = self.known, self.weight
-        found = [known[w] if w in known else weight(w) for w in set(_WORD.findall(sentence))]
-        return self.bias + sum(found) if any(found) else -math.inf
+        words = set(_WORD.findall(sentence))
+        found = [known[w] if w in known else weight(w) for w in words]
+        logit = self.bias + sum(found)
+        if logit <= _FLOOR or not any(found):
+            return 0.0
+        if seen is not None:
+            weighted = frozenset(w for w, value in zip(words, found) if value)
+            if weighted in seen:
+                return 0.0
+            seen.add(weighted)
+        return min(0.0, _log_innocent(logit) - _GRANTED)
 
     def text(self, text: str | None) -> tuple[float, int, int, float]:
         """Score, sentences, and the place (from 0, or -1) and score of the worst sentence."""
-        worst, place, n = -math.inf, -1, 0
-        now = least = 0.0  # logs of 1 - p: of the stretch that ends here, of the worst one
-        held: deque[tuple[int, float]] = deque()
+        worst, place, n, total = 0.0, -1, 0, _log_innocent(self.leak)
+        seen: set[frozenset[str]] = set()
         for n, sentence in enumerate(sentences_of(text), 1):
-            logit = self.sentence(sentence)
-            if place < 0 or logit > worst:
-                worst, place = logit, n - 1
-            if logit == -math.inf:
-                continue
-            while held and held[0][0] <= n - STRETCH:
-                now -= held.popleft()[1]
-            if not held:
-                now = 0.0
-            held.append((n, _log_innocent(logit)))
-            now += held[-1][1]
-            least = min(least, now)
-        return -math.expm1(_log_innocent(self.leak) + least), n, place, _chance(worst)
-
-
-def _chance(logit: float) -> float:
-    return 1 / (1 + math.exp(-logit)) if logit > -700 else 0.0
+            innocent = self.sentence(sentence, seen)
+            if place < 0 or innocent < worst:
+                worst, place = innocent, n - 1
+            total += innocent
+        return -math.expm1(total), n, place, -math.expm1(worst)
 
 
 def _log_innocent(logit: float) -> float:
@@ -225,8 +226,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     whole; the model (at most ``FEATURES`` numbers) is broadcast; no shuffle;
     repeated rows score alike; other columns pass through.
     """
-    names = docs.columns
-    place = next(i for i, c in enumerate(names) if c.lower() == "text")
+    place = next(i for i, c in enumerate(docs.columns) if c.lower() == "text")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(rows):
@@ -246,7 +246,7 @@ def offending(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
         scorer = Scorer(sent.value)
         for doc_id, text in rows:
             for place, sentence in enumerate(sentences_of(text)):
-                p = _chance(scorer.sentence(sentence))
+                p = -math.expm1(scorer.sentence(sentence))
                 if p >= least:
                     yield doc_id, place, sentence.strip(), p
 
@@ -270,6 +270,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@beside_helpers
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below ``threshold``; columns are those of ``docs``."""
     scored = score(docs, fit(docs, labels))

@@ -179,6 +179,30 @@ def test_decontaminate_cuts_spans_and_keeps_columns(spark, docs, empty):
     assert decontaminate.decontaminate(docs, items.limit(0)).count() == docs.count()
 
 
+def test_helper_names_may_be_taken(spark):
+    """Operators that return their input's columns bear any ``__`` name that they use themselves."""
+    names = ["__id", "__sum", "__sum1", "__sum2", "__score", "__toxic", "__runs", "__items", "__n_words", "__later"]
+    names += ["__kept", "__digest", "__spans", "__map", "aside_0", "Aside_1"]
+    rows = [(i, t, *[f"{n} {i}" for n in names]) for i, t in awkward_texts()]
+    table = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    items = spark.createDataFrame([(1, " ".join(f"W{i}" for i in range(20, 40)))], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    plain = table.select("doc_id", "text")
+    for operate in (
+        lambda df: toxicity.drop_toxic(df, labels),
+        lambda df: decontaminate.decontaminate(df, items),
+        lambda df: pii.replace(df, b"key").drop("__found", "__kinds"),
+        lines.drop_later_runs,
+        repeats.remove_repeats,
+        simhash.keep_one,
+    ):
+        out = operate(table)
+        assert out.columns == table.columns
+        got = out.collect()
+        assert rows_of(out.select("doc_id", "text")) == rows_of(operate(plain))
+        assert all(r[n] == f"{n} {r.doc_id}" for r in got for n in names)
+
+
 # personal data -----------------------------------------------------------
 
 
@@ -313,16 +337,25 @@ def test_toxicity_does_not_grow_with_length(spark):
     rows = texts.join(labels, "doc_id").filter("text IS NOT NULL").select("toxic", "text").collect()
     clean = [r.text for r in rows if r.toxic == 0 and scorer.text(r.text)[0] < toxicity.THRESHOLD]
     long = "\n".join(clean * 5)
-    worst = max((s for r in rows if r.toxic for s in toxicity.sentences_of(r.text)), key=scorer.sentence)
+    worst = min((s for r in rows if r.toxic for s in toxicity.sentences_of(r.text)), key=scorer.sentence)
     assert len(long) > 3_000_000
     assert scorer.text(long)[0] < toxicity.THRESHOLD
     assert scorer.text("It rains.\n" * 300_000)[0] < toxicity.THRESHOLD
     for at in (0, len(clean) // 2, len(clean)):
         assert scorer.text("\n".join([*clean[:at], worst, *clean[at:]] + clean * 4))[0] >= toxicity.THRESHOLD
-    # a stretch is all of a short text, and the worst window of a long one
-    model = {"weights": {"bad": 0.5}, "bias": -3.0, "leak": -9.0}
-    short, long = (toxicity.Scorer(model).text("bad\n" * n)[0] for n in (toxicity.STRETCH, 50 * toxicity.STRETCH))
-    assert short == pytest.approx(long) and short > toxicity.Scorer(model).text("bad\n" * 10)[0]
+
+
+def test_toxicity_is_one_noisy_or_wherever_sentences_stand():
+    bad = [f"b{i}" for i in range(40)]
+    scorer = toxicity.Scorer({"weights": dict.fromkeys(bad, 1.2) | {"fine": -1.0}, "bias": -1.0, "leak": -9.0})
+    q = 1 / (1 + np.exp(-0.2))
+    p = (q - toxicity.MILD) / (1 - toxicity.MILD)
+    expected = 1 - (1 - 1 / (1 + np.exp(9.0))) * (1 - p) ** 40
+    for between in ("", "fine day\n" * 63, "rain\n" * 5_000):
+        assert scorer.text("\n".join(word + "\n" + between for word in bad))[0] == pytest.approx(expected)
+    # the same evidence counts once, and mild sentences not at all
+    assert scorer.text("b1 day\n" * 40)[0] == pytest.approx(scorer.text("b1")[0])
+    assert scorer.text("fine b1\n" * 200_000)[0] == scorer.text("")[0]
 
 
 # SimHash -----------------------------------------------------------
@@ -570,6 +603,17 @@ def test_shards_of_odd_rows(docs, empty):
     assert kdshards.shards(empty).count() == 0
 
 
+@pytest.mark.parametrize("same", [600, 5000])
+def test_shards_part_rows_that_repeat(spark, same):
+    table = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("cast(doc_id as long) doc_id", "text", "lang", "source")
+    equal = spark.range(same).selectExpr("cast(null as long)", f"repeat('same words ', {900_000 // same})", "'en'", "'s'")
+    rows = kdshards.shards(table.union(equal)).collect()
+    assert len(rows) == table.count() + same
+    check_shards(rows, 8, 3 * max(r.size for r in rows))
+    alike = collections.Counter(r.shard for r in rows if r.doc_id is None)
+    assert len(alike) > 1
+
+
 # archives -----------------------------------------------------------
 
 
