@@ -15,6 +15,8 @@ from ..session import stage
 VALUE_BITS, SUM_BITS, ID_BITS = 24, 20, 20
 #: Bits of the key that a round settles; a round's sums have so many bins per node.
 ROUND_BITS = 16
+#: Bits by which rows of one key are told apart.
+TIE_BITS = 32
 #: Runs into which a shard is cut to number its rows.
 SLOT_RUNS = 4096
 
@@ -28,7 +30,7 @@ def _unit(column: Column, low, high) -> Column:
 
 
 def metadata(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the dimensions d0 (log size), d1 (lang), d2 (source), as 0..1."""
+    """doc_id, size, text_crc32, the dimensions d0 (log size), d1 (lang), d2 (source), as 0..1, and tie."""
     columns = {c.lower() for c in docs.columns}
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
 
@@ -43,11 +45,18 @@ def metadata(docs: DataFrame) -> DataFrame:
         code("lang").alias("d1"),
         code("source").alias("d2"),
     )
-    raw = stage(raw, "shard-rows")
+    raw = _tied(stage(raw, "shard-rows"))
     ends = raw.agg(*(f(d).alias(f"{d}{n}") for d in ("d0", "d1", "d2") for n, f in (("l", F.min), ("h", F.max)))).first()
     return raw.withColumns({d: _unit(F.col(d), ends[f"{d}l"], ends[f"{d}h"]) for d in ("d0", "d1", "d2")})
 
 
+def _tied(staged: DataFrame) -> DataFrame:
+    """With ``tie``, a hash of the row's place in the written table: rows alike in all else differ in it."""
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    place = F.xxhash64(part, F.col("_metadata.row_index"))
+    return staged.withColumn("tie", F.pmod(place, F.lit(1 << TIE_BITS)))
+
+
 def _order_key(dimension: Column) -> Column:
     """A 64-bit order: the value, then the text, then the id; copies stand side by side."""
     top = (1 << VALUE_BITS - 1) - 1  # one bit less keeps the key positive
@@ -65,40 +74,59 @@ def _pick(column: str, choices: dict, otherwise: Column) -> Column:
     return out
 
 
-def _cuts(keyed: DataFrame, shares: dict[int, tuple[int, int]]) -> dict[int, int]:
-    """For each node the key at which its first (part / whole) of the bytes is reached.
+def _cuts(keyed: DataFrame, shares: dict[int, tuple[int, int]]) -> dict[int, tuple[int, int]]:
+    """For each node the (key, tie) at which its first (part / whole) of the bytes is reached.
 
-    Rows with a key up to it go left. The bin that holds the place is refined
-    ``ROUND_BITS`` at a time until it is one key.
+    Rows up to it go left. The bin that holds the place is refined ``ROUND_BITS``
+    at a time until it is one key, and, where several rows have that key, on
+    through their ties.
     """
-    total = VALUE_BITS + SUM_BITS + ID_BITS
-    prefix = {node: 0 for node in shares}  # settled high bits
-    before: dict[int, int] = {}
-    goal: dict[int, float] = {}
+    settled_keys, before, goal, rows = _narrow(keyed, "key", VALUE_BITS + SUM_BITS + ID_BITS, shares, {}, {})
+    crowded = [n for n in settled_keys if rows[n] > 1]
+    ties: dict[int, int] = {}
+    if crowded:
+        at_key = _pick("node", {n: F.lit(settled_keys[n]) for n in crowded}, F.lit(-1))
+        ties, *_ = _narrow(keyed.filter(F.col("key") == at_key), "tie", TIE_BITS, {}, before, goal)
+    return {n: (key, ties.get(n, 1 << TIE_BITS)) for n, key in settled_keys.items()}
+
+
+def _narrow(
+    rows: DataFrame, column: str, total: int, shares: dict, before: dict[int, int], goal: dict[int, float]
+) -> tuple[dict[int, int], dict[int, int], dict[int, float], dict[int, int]]:
+    """Per node: the value of ``column`` (``total`` bits) where ``goal`` bytes are reached, the
+    bytes ``before`` that value, the goal, and the number of rows with it.
+
+    Without a goal, it is the node's part of all its bytes by ``shares``.
+    """
+    prefix: dict[int, int] = {}  # settled high bits
+    before, goal, counts = dict(before), dict(goal), {}
     for settled in range(0, total, ROUND_BITS):
         low = total - settled - ROUND_BITS
-        inside = keyed
+        inside = rows
         if settled:
             wanted = _pick("node", {n: F.lit(p) for n, p in prefix.items()}, F.lit(-1))
-            inside = keyed.filter(F.shiftright("key", low + ROUND_BITS) == wanted)
-        bins = inside.groupBy("node", F.shiftright("key", low).alias("bin")).agg(F.sum("size").alias("bytes"))
+            inside = rows.filter(F.shiftright(column, low + ROUND_BITS) == wanted)
+        bins = inside.groupBy("node", F.shiftright(column, low).alias("bin")).agg(
+            F.sum("size").alias("bytes"), F.count("*").alias("n")
+        )
         running = Window.partitionBy("node").orderBy("bin")
         sums = bins.withColumns(
             {"upto": F.sum("bytes").over(running), "all": F.sum("bytes").over(Window.partitionBy("node"))}
         )
-        if not settled:
+        if not goal:
             share = _pick("node", {n: F.lit(a / b) for n, (a, b) in shares.items()}, F.lit(0.0))
             aim, done = F.col("all") * share, F.lit(0)
         else:
             aim = _pick("node", {n: F.lit(float(g)) for n, g in goal.items()}, F.lit(0.0))
             done = _pick("node", {n: F.lit(b) for n, b in before.items()}, F.lit(0))
         reached = sums.withColumns({"aim": aim, "end": F.col("upto") + done}).filter(F.col("end") >= F.col("aim"))
-        found = reached.groupBy("node").agg(F.min(F.struct("bin", "bytes", "end", "aim")).alias("at")).collect()
+        found = reached.groupBy("node").agg(F.min(F.struct("bin", "bytes", "end", "aim", "n")).alias("at")).collect()
         for row in found:  # one row per node: at most as many as leaves
             prefix[row.node] = row.at.bin
             before[row.node] = row.at.end - row.at.bytes
             goal[row.node] = row.at.aim
-    return prefix
+            counts[row.node] = row.at.n
+    return prefix, before, goal, counts
 
 
 def kd_leaves(rows: DataFrame, leaves: int, dimensions=("d0", "d1", "d2")) -> DataFrame:
@@ -106,8 +134,8 @@ def kd_leaves(rows: DataFrame, leaves: int, dimensions=("d0", "d1", "d2")) -> Da
 
     A node of n leaves is cut so that its left part has n // 2 of n parts of its
     bytes, up to the row at the cut. Widest is the dimension of largest range
-    within the node; ties go to the first. Equal keys stay together: rows that
-    repeat both id and text.
+    within the node; ties go to the first. Rows that repeat both id and text are
+    parted too, by their place in the staged table.
     """
     nodes = {0: (0, leaves)}  # node: first leaf, leaves
     rows = rows.withColumn("node", F.lit(0))
@@ -134,7 +162,9 @@ def kd_leaves(rows: DataFrame, leaves: int, dimensions=("d0", "d1", "d2")) -> Da
             half = n // 2
             after[first], after[first + half] = (first, half), (first + half, n - half)
             if node in cuts:
-                right = (F.col("node") == node) & (F.col("key") > cuts[node])
+                at, tie = cuts[node]
+                later = (F.col("key") > at) | ((F.col("key") == at) & (F.col("tie") > tie))
+                right = (F.col("node") == node) & later
                 side = F.when(right, F.lit(first + half)).otherwise(side)
         nodes = after
         rows = keyed.withColumn("node", side).drop("key")
@@ -146,12 +176,13 @@ def shards(docs: DataFrame, count: int = 8, slot_runs: int = SLOT_RUNS) -> DataF
 
     The law is ``bytes``: shard sizes are near equal, apart by rows at the cuts.
     Sizes are UTF-8 bytes of the text plus one (null text: one). Slots number a
-    shard's rows from 0 in order of the id's hash; each shard is numbered in
-    ``slot_runs`` runs side by side, so no task orders a whole shard. Null ids,
-    sources and languages are values like others; repeated rows keep their own
-    slots; an empty table gives no rows; other columns are ignored.
+    shard's rows from 0 in order of a hash of id, text and place; each shard is
+    numbered in ``slot_runs`` runs side by side, so no task orders a whole shard,
+    whatever repeats. Null ids, sources and languages are values like others;
+    repeated rows keep their own slots and are cut where a shard's bytes are
+    reached; an empty table gives no rows; other columns are ignored.
     """
-    rows = stage(kd_leaves(metadata(docs), count), "shard-leaves").withColumn("hash", F.xxhash64("doc_id", "text_crc32"))
+    rows = stage(kd_leaves(metadata(docs), count), "shard-leaves").withColumn("hash", F.xxhash64("doc_id", "text_crc32", "tie"))
     rows = rows.withColumn("run", F.pmod("hash", F.lit(slot_runs)).cast("int"))
     runs = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
