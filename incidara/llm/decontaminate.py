@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_rows, text_of
+from .common import beside_helpers, map_rows, text_of
 
 WINDOW = 10
 #: Item words in one automaton: what is broadcast stays under this plus one item.
@@ -277,6 +277,7 @@ def cut_runs(text: str, runs: list[list[int]]) -> str:
     return b"".join([*out, data[kept:]]).decode()
 
 
+@beside_helpers
 def decontaminate(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.5
 ) -> DataFrame:

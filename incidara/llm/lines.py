@@ -11,6 +11,7 @@ suffix array whose common prefix has at least that many lines.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from .common import beside_helpers
 
 MIN_LINES = 2
 #: A single line counts as a run if it has so many words.
@@ -104,7 +105,8 @@ def without_later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: i
     when it has ``min_lines`` lines, or one line of ``min_words`` words, and
     occurs earlier; of equal places in repeated rows all count as the first.
     Null text counts as empty and has nothing to delete; an empty table gives
-    no rows; other columns pass through, whatever their names (but ``__`` ones).
+    no rows; other columns pass through, whatever their names (but ``__`` ones,
+    which ``drop_later_runs`` allows too).
     """
     marked = docs.withColumn("__sum", F.xxhash64("text"))
     later = later_lines(docs, min_lines, min_words).withColumnsRenamed({"__sum": "__sum2"})
@@ -130,6 +132,7 @@ def audit(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORD
     )
 
 
+@beside_helpers
 def drop_later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without later copies of line runs; columns are those of ``docs``.
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .common import map_rows
+from .common import beside_helpers, map_rows
 
 #: Rounds of redrawing; each leaves a small part of the one before.
 ROUNDS = 40
@@ -343,6 +343,7 @@ def surrogates(entities: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFra
     raise ValueError(f"surrogates still meet after {rounds} rounds")
 
 
+@beside_helpers
 def replace(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` with surrogates in the text, and __found (entities) and __kinds (their types).
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .common import map_rows
+from .common import beside_helpers, map_rows
 
 LENGTH = 400
 #: Bytes of a gram, a power of two; longer ones make fewer passages that only begin alike.
@@ -287,6 +287,7 @@ def audit(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame:
     return map_rows(table.select("doc_id", "text", "__spans"), schema, digest)
 
 
+@beside_helpers
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame:
     """The documents without repeated bytes; broken characters at the cuts go as well.
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
-from .common import map_rows, small_batches
+from .common import beside_helpers, map_rows, small_batches
 from .components import components
 
 SHINGLE = 3
@@ -198,6 +198,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, bucket: int = BUCKET)
     )
 
 
+@beside_helpers
 def keep_one(docs: DataFrame, size: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
     """One document of each component: that of least (doc_id, digest of the text), null ids last.
 
