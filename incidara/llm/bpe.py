@@ -282,8 +282,9 @@ def _pieces(text: str) -> Iterator[str]:
 class Words(dict):
     """Packed ids of what stands between two blanks, its own blank before it included."""
 
-    def __init__(self, tables: dict):
+    def __init__(self, tables: dict, limit: int = CACHE_ROWS):
         super().__init__()
+        self.limit = limit
         self.older: dict[str, bytes] = {}  # what was in use before the last turn
         self.machine = Transducer(tables)
         self.special = tables["special"]
@@ -293,8 +294,9 @@ class Words(dict):
         if packed is None:
             packed = self.ids(" " + word)
         if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_ROWS:
-                self.older = dict(self)
+            if len(self) >= self.limit:
+                self.older.clear()  # before the copy, so that no third turn is in memory
+                self.older.update(self)
                 self.clear()
             self[word] = packed
         return packed
@@ -321,10 +323,10 @@ def _encode_plain(text: str, words: Words) -> Iterator[bytes]:
             yield b"".join(map(words.__getitem__, parts))
 
 
-def _words(tables: dict) -> Words:
+def _words(tables: dict, limit: int = CACHE_ROWS) -> Words:
     """The worker's own memory of words: it lives as long as the broadcast tables there."""
     if "words" not in tables:
-        tables["words"] = Words(tables)
+        tables["words"] = Words(tables, limit)
     return tables["words"]
 
 
@@ -386,7 +388,7 @@ def _typed(df: DataFrame, more: str) -> str:
     return f"doc_id {kind}, {more}"
 
 
-def round_trip(docs: DataFrame, source: str) -> DataFrame:
+def round_trip(docs: DataFrame, source: str, remembered: int = CACHE_ROWS) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
     The ids are those of the tokenizers library without added tokens; a special
@@ -394,13 +396,15 @@ def round_trip(docs: DataFrame, source: str) -> DataFrame:
     little-endian 32-bit numbers and of the decoded text in UTF-8. Null counts as
     empty; texts are split and decoded piece by piece, and a piece as long as the
     text goes through the transducer, so memory holds one text and its ids'
-    current piece. No shuffle; repeated rows are repeated, an empty table gives
-    no rows, other columns are ignored.
+    current piece. A worker remembers the tokens of twice ``remembered`` words;
+    fewer take less memory and more time, for the same result. No shuffle;
+    repeated rows are repeated, an empty table gives no rows, other columns are
+    ignored.
     """
     sent = tokenizer(docs.sparkSession, source)
 
     def each(rows):
-        words = _words(sent.value)
+        words = _words(sent.value, remembered)
         table = sent.value["table"]
         for doc_id, text in rows:
             ids, back, n = hashlib.sha256(), hashlib.sha256(), 0
