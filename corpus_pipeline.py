@@ -9,6 +9,9 @@ from incidara.llm.common import read
 from incidara.llm.registry import tokenizer_source
 from incidara.session import stage
 
+#: Words whose tokens a worker remembers: fewer than the operator's own, as its workers serve all stages.
+REMEMBERED = 40_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; the classifier learns from this stage's own input."""
@@ -32,7 +35,7 @@ def drop_benchmark_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document its token counts and digests of its ids and of the text decoded from them."""
-    return bpe.round_trip(docs, tokenizer_source())
+    return bpe.round_trip(docs, tokenizer_source(), REMEMBERED)
 
 
 STAGES = [
