@@ -481,6 +481,22 @@ def test_repeats_of_odd_rows(docs, empty):
     assert out.columns == docs.columns and {r.doc_id: r.text for r in out.collect()}[9] == ""
 
 
+def test_query_of_repeats_shows_the_text_that_stays(spark, tmp_path):
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choice("abcdé") for _ in range(7)) for _ in range(n))
+    passage, short = words(60), words(30)  # over and under 400 bytes
+    rows = [(0, f"one {passage} A"), (1, f"two {passage} B"), (2, words(80)), (3, f"C {short}"), (4, f"D {short}")]
+    rows += [(5, ""), (6, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in QUERIES["op6_column_wise_repeats"](spark, str(tmp_path)).collect()}
+    left = dict(rows) | {0: "oneA", 1: "twoB"}  # the blanks beside the passage repeat as well
+    assert {k: r.text for k, r in out.items()} == left
+    assert sorted((tuple(r)[:5] for r in out.values()), key=str) == brute_repeats(rows, 400)
+    kept = repeats.remove_repeats(table)
+    assert {r.doc_id: r.text for r in kept.collect()} == left
+
+
 # byte-level BPE -----------------------------------------------------------
 
 
